@@ -14,7 +14,10 @@ from portolan.functions import column
 from portolan.operators.joins import fits_broadcast
 from portolan.sinks.staging import Staging
 
-RANK = "__rank"
+RANK, COPIES = "__rank", "__copies"
+
+# Rows of repeated keys count as few up to this share of the table.
+RARE_SHARE = 0.1
 
 
 def keep_one(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -49,27 +52,31 @@ def dedup_rare(
     keys: Sequence[str],
     order: Sequence[Column] | None = None,
     staging: Staging | None = None,
+    rare: float = RARE_SHARE,
 ) -> DataFrame:
     """Same result as :func:`dedup`, for wide tables in which few keys repeat.
 
-    First the repeated keys are found from the key columns alone. Rows with any
-    other key pass through without a shuffle; only the rows of repeated keys
-    are ranked. If the repeated keys are too many to broadcast, the whole table
-    is ranked instead. ``df`` is read more than once, so it should be a stored
-    table.
+    First the repeated keys are found from the key columns alone. If their rows
+    are at most the share ``rare`` of the table, and the keys few enough to
+    broadcast, rows with any other key pass through without a shuffle and only
+    the rows of repeated keys are ranked. Otherwise the whole table is ranked.
+    ``df`` is read more than once, so it should be a stored table.
     """
     staging = staging or Staging(df.sparkSession)
-    counted = df.groupBy(*[column(k) for k in keys]).agg(F.count(F.lit(1)).alias(RANK))
     names = [f"__key_{i}" for i in range(len(keys))]
     repeated = staging.write(
-        counted.where(F.col(RANK) > 1).select(*[column(k).alias(n) for k, n in zip(keys, names)]),
+        df.groupBy(*[column(k).alias(n) for k, n in zip(keys, names)])
+        .agg(F.count(F.lit(1)).alias(COPIES))
+        .where(F.col(COPIES) > 1),
         "repeated-keys",
     )
-    if not fits_broadcast(repeated):
+    concerned = repeated.agg(F.coalesce(F.sum(COPIES), F.lit(0))).first()[0]
+    if concerned > rare * df.count() or not fits_broadcast(repeated):
         return dedup(df, keys, order)
     same_key = functools.reduce(
         operator.and_, [column(k).eqNullSafe(F.col(n)) for k, n in zip(keys, names)]
     )
-    single = df.join(F.broadcast(repeated), same_key, "left_anti")
-    several = df.join(F.broadcast(repeated), same_key, "left_semi")
+    repeated = F.broadcast(repeated.select(*names))
+    single = df.join(repeated, same_key, "left_anti")
+    several = df.join(repeated, same_key, "left_semi")
     return single.unionByName(dedup(several, keys, order))

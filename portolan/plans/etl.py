@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import dataclasses
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -65,7 +67,9 @@ def build_star(
 
     The cleaned arrivals feed four tables; they are staged once, so that all
     four agree and the sort behind the clean-up runs once. Each dimension then
-    reads a single column of them.
+    reads a single column of them. Tables that do not wait for each other are
+    written at the same time, which keeps the cluster busy while small ones
+    finish.
     """
     spark = arrivals.sparkSession
     own = staging is None
@@ -73,27 +77,40 @@ def build_star(
 
     def store(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
         path = f"{output.rstrip('/')}/{name}"
-        write_parquet(df, path, partition_by, schemas.COMMENTS[name])
+        # Only the calendar is partitioned: its folders hold at most a week.
+        write_parquet(df, path, partition_by, schemas.COMMENTS[name], small_folders=True)
         return load_table(spark, path)
 
-    cleaned = staging.write(
-        clean_arrivals(arrivals, rare_duplicates=rare_duplicates, staging=staging), "arrivals"
-    )
-    cities = staging.write(clean_demographics(demographics), "demographics")
-    readings = clean_temperature(temperature)
-
-    visatype = store(build_key_dimension(cleaned, "visatype", "visa_type_key", staging), "visatype")
-    tables = StarTables(
-        visatype=visatype,
-        immigration_time=store(
-            build_calendar_dimension(cleaned), "immigration_time", schemas.CALENDAR_PARTITIONS
-        ),
-        country=store(
-            build_country_dimension(cleaned, mapping, readings, staging=staging), "country"
-        ),
-        demographics=store(build_demographics_dimension(cities, staging=staging), "demographics"),
-        immigration_fact=store(build_fact(cleaned, visatype), "immigration_fact"),
-    )
+    def demographics_table() -> DataFrame:
+        cities = staging.write(clean_demographics(demographics), "demographics")
+        return store(build_demographics_dimension(cities, staging=staging), "demographics")
+
+    def calendar_table(cleaned: DataFrame) -> DataFrame:
+        calendar = build_calendar_dimension(cleaned)
+        return store(calendar, "immigration_time", schemas.CALENDAR_PARTITIONS)
+
+    def country_table(cleaned: DataFrame) -> DataFrame:
+        readings = clean_temperature(temperature)
+        return store(build_country_dimension(cleaned, mapping, readings, staging=staging), "country")
+
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        cities = pool.submit(inheritable_thread_target(spark)(demographics_table))
+        cleaned = staging.write(
+            clean_arrivals(arrivals, rare_duplicates=rare_duplicates, staging=staging), "arrivals"
+        )
+        calendar = pool.submit(inheritable_thread_target(spark)(calendar_table), cleaned)
+        country = pool.submit(inheritable_thread_target(spark)(country_table), cleaned)
+        visatype = store(
+            build_key_dimension(cleaned, "visatype", "visa_type_key", staging), "visatype"
+        )
+        fact = store(build_fact(cleaned, visatype), "immigration_fact")
+        tables = StarTables(
+            visatype=visatype,
+            immigration_time=calendar.result(),
+            country=country.result(),
+            demographics=cities.result(),
+            immigration_fact=fact,
+        )
     if own:
         staging.clear()
     return tables

@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 from portolan.functions import column
 
 
+# Tasks that write a table of many small folders.
+FOLDER_TASKS = 64
+
+
 def with_comments(df: DataFrame, comments: Mapping[str, str]) -> DataFrame:
     """Attach column comments; Parquet keeps them and gives them back."""
     for name, text in comments.items():
@@ -23,6 +27,7 @@ def write_parquet(
     path: str,
     partition_by: Sequence[str] = (),
     comments: Mapping[str, str] | None = None,
+    small_folders: bool = False,
 ) -> None:
     """Write Parquet, optionally one folder per value of ``partition_by``.
 
@@ -30,13 +35,23 @@ def write_parquet(
     first. A small folder then gets one file instead of one per task, while a
     folder with a large share of the rows is split over several tasks by size,
     which a plain ``repartition`` on the same columns would not do.
+
+    ``small_folders`` is for a table whose every folder is known to be small,
+    such as a calendar. There the cost is the number of files, not their size;
+    folders are spread over a fixed number of tasks, which adaptive execution
+    would otherwise merge into one.
     """
     if comments:
         df = with_comments(df, comments)
     if not partition_by:
         df.write.mode("overwrite").parquet(path)
         return
-    df = df.hint("rebalance", *[column(c) for c in partition_by])
+    by = [column(c) for c in partition_by]
+    if small_folders:
+        shuffle_partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        df = df.repartition(min(FOLDER_TASKS, shuffle_partitions), *by)
+    else:
+        df = df.hint("rebalance", *by)
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
 

@@ -61,7 +61,7 @@ ARRIVALS = """arrivals AS (
 
 TEMPERATURE = """temperature AS (
   SELECT DATE '1743-11-01' + CAST(floor(abs(c_acctbal) / 500) AS INT) AS dt,
-    CASE WHEN c_acctbal >= 0 THEN c_acctbal / 100 END AS "AverageTemperature",
+    CASE WHEN c_acctbal >= 0 THEN floor(c_acctbal / 100) / 4 END AS "AverageTemperature",
     c_acctbal / 1000 AS "AverageTemperatureUncertainty",
     c_mktsegment AS "City",
     'Nation_' || c_nationkey AS "Country",
@@ -288,6 +288,8 @@ ORACLE: dict[str, str] = {
     "csv_semicolon_roundtrip": _named_parts,
     "csv_inferred": f"SELECT CAST(code AS INT) AS code, \"Name\", kind FROM ({_named_parts})",
     "partitioned_roundtrip": f"SELECT * FROM ({_calendar(_order_dates)}) WHERE arrival_year = 1996",
+    "partitioned_rebalanced": """SELECT *, CAST(year(o_orderdate) AS INT) AS order_year FROM orders
+WHERE year(o_orderdate) >= 1998""",
     "label_catalog": """SELECT CAST(p_size AS VARCHAR) AS code, arg_max(p_name, p_partkey) AS name
 FROM part GROUP BY p_size""",
     "label_catalog_nations": "SELECT CAST(n_nationkey AS VARCHAR) AS code, n_name AS name FROM nation",
@@ -329,14 +331,14 @@ FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem)""",
     "null_percent": f"WITH {HOLEY} SELECT * FROM ("
     + " UNION ALL ".join(
         f"SELECT '{c}' AS column_name, count(*) FILTER ({_missing(c)}) AS null_values, "
-        f"round(CAST(100.0 AS DOUBLE) * count(*) FILTER ({_missing(c)}) / count(*), 6) AS pct_missing FROM holey"
+        f"CAST(100.0 AS DOUBLE) * count(*) FILTER ({_missing(c)}) / count(*) AS pct_missing FROM holey"
         for c in _holey_columns
     )
     + ") WHERE pct_missing > 0",
     "row_count": " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}" for t in _row_tables),
     "distinct_values": "SELECT DISTINCT c_mktsegment FROM customer",
     "avg_by_group": f"""WITH {TEMPERATURE}
-SELECT "Country", round(avg("AverageTemperature"), 6) AS average_temperature FROM temperature GROUP BY ALL""",
+SELECT "Country", avg("AverageTemperature") AS average_temperature FROM temperature GROUP BY ALL""",
     "preview": "SELECT * FROM orders ORDER BY o_orderkey LIMIT 5",
     "dedup_single_key": """SELECT * EXCLUDE (rn) FROM (
   SELECT *, row_number() OVER (PARTITION BY text ORDER BY doc_id) AS rn FROM documents) WHERE rn = 1""",
@@ -367,12 +369,10 @@ FROM (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS d FROM orders)""",
         + [c for c in _line_columns if c not in ("l_orderkey", "l_partkey", "l_suppkey")]
     )}) - 1 AS id, l_orderkey, l_partkey, l_suppkey, l_linenumber FROM lineitem""",
     "calendar_dim": _calendar(_order_dates),
-    "country_dim": f"WITH {ARRIVALS}, {TEMPERATURE} SELECT * REPLACE (round(average_temperature, 6) AS average_temperature) FROM ("
-    + _country(_raw_codes, "temperature", "n.n_name", 'upper("Country")')
-    + ")",
-    "country_dim_titled": f"WITH {ARRIVALS}, {TEMPERATURE} SELECT * REPLACE (round(average_temperature, 6) AS average_temperature) FROM ("
-    + _country(_raw_codes, "temperature", _titled_nation, '"Country"')
-    + ")",
+    "country_dim": f"WITH {ARRIVALS}, {TEMPERATURE} "
+    + _country(_raw_codes, "temperature", "n.n_name", 'upper("Country")'),
+    "country_dim_titled": f"WITH {ARRIVALS}, {TEMPERATURE} "
+    + _country(_raw_codes, "temperature", _titled_nation, '"Country"'),
     "demographics_dim": f"""WITH {CITIES} SELECT "City", "State", "Median Age" AS median_age,
   "Male Population" AS male_population, "Female Population" AS female_population,
   "Total Population" AS total_population, "Number of Veterans" AS number_of_veterans,
@@ -411,7 +411,7 @@ FROM (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS d FROM orders)""",
     "star_fact": f"{STAR} SELECT * FROM fact",
     "star_summary": f"""{STAR}
 SELECT c.country_name, d.arrival_year, v.visa_type_key, v.visatype, count(*) AS arrivals,
-  round(avg(c.average_temperature), 6) AS average_temperature
+  round(avg(c.average_temperature), 8) AS average_temperature
 FROM fact f LEFT JOIN country c ON c.country_code = f.country_residence_code
 LEFT JOIN calendar d ON d.arrdate = f.arrdate
 LEFT JOIN visatypes v ON v.visa_type_key = f.visa_type_key

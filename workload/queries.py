@@ -68,10 +68,17 @@ def csv_inferred(spark, sf_dir):
 
 def partitioned_roundtrip(spark, sf_dir):
     path = sinks.Staging(spark).path("calendar")
-    sinks.write_parquet(calendar_dim(spark, sf_dir), path, schemas.CALENDAR_PARTITIONS)
+    sinks.write_parquet(calendar_dim(spark, sf_dir), path, schemas.CALENDAR_PARTITIONS, small_folders=True)
     return sources.load_table(spark, path).where("arrival_year = 1996")
 
 
+def partitioned_rebalanced(spark, sf_dir):
+    path = sinks.Staging(spark).path("orders")
+    dated = table(spark, sf_dir, "orders").withColumn("order_year", F.year("o_orderdate"))
+    sinks.write_parquet(dated, path, ["order_year", "o_orderstatus"])
+    return sources.load_table(spark, path).where("order_year >= 1998")
+
+
 def label_catalog(spark, sf_dir):
     """Part names as labels of their size; the last part of a size wins."""
     path = sinks.Staging(spark).path("labels")
@@ -162,8 +169,7 @@ def null_profile(spark, sf_dir):
 
 
 def null_percent(spark, sf_dir):
-    long = ops.null_percent(_holey_lines(spark, sf_dir))
-    return long.withColumn("pct_missing", F.round("pct_missing", 6))
+    return ops.null_percent(_holey_lines(spark, sf_dir))
 
 
 def row_count(spark, sf_dir):
@@ -175,8 +181,7 @@ def distinct_values(spark, sf_dir):
 
 
 def avg_by_group(spark, sf_dir):
-    averages = ops.average_by(standins.temperature(spark, sf_dir), "Country", "AverageTemperature", "average_temperature")
-    return averages.withColumn("average_temperature", F.round("average_temperature", 6))
+    return ops.average_by(standins.temperature(spark, sf_dir), "Country", "AverageTemperature", "average_temperature")
 
 
 def preview(spark, sf_dir):
@@ -301,13 +306,11 @@ def country_dim(spark, sf_dir):
     """Exact names: the readings are respelled in upper case, as the mapping has them."""
     codes, mapping, readings = _country_sources(spark, sf_dir)
     readings = readings.withColumn("Country", F.upper("Country"))
-    dim = plans.build_country_dimension(codes, mapping, readings, titled=False)
-    return dim.withColumn("average_temperature", F.round("average_temperature", 6))
+    return plans.build_country_dimension(codes, mapping, readings, titled=False)
 
 
 def country_dim_titled(spark, sf_dir):
-    dim = plans.build_country_dimension(*_country_sources(spark, sf_dir))
-    return dim.withColumn("average_temperature", F.round("average_temperature", 6))
+    return plans.build_country_dimension(*_country_sources(spark, sf_dir))
 
 
 def demographics_dim(spark, sf_dir):
@@ -343,7 +346,7 @@ def fact_dim_key_shuffled(spark, sf_dir):
 
 
 def clean_arrivals(spark, sf_dir):
-    return plans.clean_arrivals(standins.arrivals(spark, sf_dir), rare_duplicates=True)
+    return plans.clean_arrivals(standins.arrivals(spark, sf_dir))
 
 
 def clean_arrivals_text_dates(spark, sf_dir):
@@ -403,14 +406,14 @@ def star_summary(spark, sf_dir):
     """The whole job, then the fact table over its dimensions."""
     star = _star(spark, sf_dir)
     summary = plans.star_summary(star.immigration_fact, star.country, star.immigration_time, star.visatype)
-    return summary.withColumn("average_temperature", F.round("average_temperature", 6))
+    return summary.withColumn("average_temperature", F.round("average_temperature", 8))
 
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in [
         scan_parquet, parquet_roundtrip, csv_roundtrip, csv_semicolon_roundtrip, csv_inferred,
-        partitioned_roundtrip, label_catalog, label_catalog_nations, file_inventory,
+        partitioned_roundtrip, partitioned_rebalanced, label_catalog, label_catalog_nations, file_inventory,
         select_columns, drop_columns, drop_sparse_columns, rename_columns, all_doubles_to_int,
         dropna_single, dropna_any, dropna_loss, dedup_loss, cleaning_loss, null_profile, null_percent,
         row_count, distinct_values, avg_by_group, preview,

@@ -57,10 +57,13 @@ def mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def temperature(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One reading per customer; negative balances give nulls, days and cities repeat."""
+    """One reading per customer; negative balances give nulls, days and cities repeat.
+
+    Readings are quarter degrees, whose sums are exact in any order.
+    """
     return table(spark, sf_dir, "customer").selectExpr(
         "date_add(DATE'1743-11-01', CAST(floor(abs(c_acctbal) / 500) AS INT)) AS dt",
-        "CASE WHEN c_acctbal >= 0 THEN c_acctbal / 100 END AS AverageTemperature",
+        "CASE WHEN c_acctbal >= 0 THEN floor(c_acctbal / 100) / 4 END AS AverageTemperature",
         "c_acctbal / 1000 AS AverageTemperatureUncertainty",
         "c_mktsegment AS City",
         "concat('Nation_', c_nationkey) AS Country",
