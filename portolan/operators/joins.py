@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from portolan.functions import column
+from portolan.sinks.staging import Staging
 
 SIZE_UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
 ROW_OVERHEAD = 16
@@ -92,7 +93,11 @@ def _join_in_pieces(
     share of the fact rows. There are at most as many such keys as shuffle
     partitions, hence they can be broadcast. Their fact rows are spread by a
     hash of the whole row over as many pieces as they have shares, and their
-    dimension row is repeated once per piece.
+    dimension row is repeated once per piece. The hash, unlike a random number
+    or a row counter, is the same when a lost task is run again.
+
+    The dimension has been measured as too large, so the hint keeps Spark from
+    broadcasting it after all on account of its smaller, compressed file size.
     """
     spark = fact.sparkSession
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -107,6 +112,10 @@ def _join_in_pieces(
             F.ceil(F.col(PIECES) / F.lit(share)).cast("int").alias(PIECES),
         )
     )
+    # Staged: both sides need it, and it takes a pass over the fact keys.
+    hot = Staging(spark).write(hot, "frequent-keys")
+    if hot.isEmpty():
+        return fact.join(dim.hint("merge"), _match(left, right, null_safe), "left")
     row_hash = F.xxhash64(*[column(c) for c in fact.columns])
     pieces = F.coalesce(F.col(PIECES), F.lit(1))
 
@@ -119,4 +128,4 @@ def _join_in_pieces(
     spread = spread.drop(PIECES, *hot_names)
     repeated = repeated.drop(PIECES, *hot_names)
     same = _match(left, right, null_safe) & (F.col("__fact_piece") == F.col(PIECE))
-    return spread.join(repeated, same, "left").drop("__fact_piece", PIECE)
+    return spread.join(repeated.hint("merge"), same, "left").drop("__fact_piece", PIECE)

@@ -22,7 +22,8 @@ def read_csv(
 
     With a ``schema`` the file is read once and its header is checked against
     the schema; without one the types are inferred, which costs a further pass
-    over the file. Values may be quoted and hold the separator.
+    over the file. Values may be quoted and hold the separator; an empty value
+    is null.
     """
     reader = spark.read.option("header", True).option("sep", sep).option("escape", escape)
     if schema is None:
@@ -34,7 +35,7 @@ def file_inventory(spark: SparkSession, glob: str) -> DataFrame:
     """Name and size in bytes of every file behind ``glob``.
 
     Only the listing is used; the content column is pruned away, so no file is
-    opened.
+    opened. Spark leaves out files of zero bytes.
     """
     files = spark.read.format("binaryFile").load(glob)
     return files.selectExpr("regexp_extract(path, '([^/]+)$', 1) AS file_name", "length AS size_bytes")
