@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from portolan.operators.dedup import keep_one
+from portolan.operators.joins import lookup_join
 
-# Code, then the text from the quote up to a second "=" or the end.
+# A pair is a code, then the text from the quote up to a second
+# "=" or the end; a section runs from its header to a line that ends in ";".
 LABEL_LINE = r"^\s*([^=]*?)\s*=\s*'([^=]*)"
+SECTION_HEADER = r"(?i)^\s*value\s+\$?{}\s*$"
+SECTION_END = r";\s*$"
 
 
-def parse_label_lines(lines: DataFrame, order: list[str], line: str = "value") -> DataFrame:
+def parse_label_lines(lines: DataFrame, order: Sequence[str], line: str = "value") -> DataFrame:
     """Lines to ``(code, name)``; a repeated code keeps its last line.
 
     Lines that are no ``code = 'name'`` pair (headers, blanks, terminators) are
@@ -30,27 +36,41 @@ def parse_label_lines(lines: DataFrame, order: list[str], line: str = "value") -
     return keep_one(pairs, ["code"], last_first).select("code", "name")
 
 
+def _section(lines: DataFrame, section: str) -> DataFrame:
+    """The lines of each file from the section's header to the end of its statement.
+
+    Two lookups by file with one row per file; the lines themselves stay where
+    they are, so a section may be of any length.
+    """
+    begins = (
+        lines.where(F.col("value").rlike(SECTION_HEADER.format(section)))
+        .groupBy("file")
+        .agg(F.min("spot").alias("begin"))
+    )
+    after = lookup_join(lines, begins, {"file": "file"}).where(F.col("spot") > F.col("begin"))
+    ends = (
+        after.where(F.col("value").rlike(SECTION_END)).groupBy("file").agg(F.min("spot").alias("end"))
+    )
+    return lookup_join(after, ends, {"file": "file"}).where(
+        F.col("end").isNull() | (F.col("spot") <= F.col("end"))
+    )
+
+
 def read_label_catalog(spark: SparkSession, path: str, section: str | None = None) -> DataFrame:
-    """Read a label file or a folder of such files.
+    """Read a label file or a folder of such files as ``(code, name)``.
 
-    Without ``section`` every line of every file counts. The order of lines is
-    file, then offset of the split, then place within the split, so files may
-    be split freely over tasks. With ``section`` only the statement that
-    starts with ``value <section>`` and ends at the next ``;`` is read.
+    The order of lines is file, then offset of the split, then place within
+    the split, so files may be split freely over tasks. With ``section`` only
+    the statement headed ``value <section>`` counts, else every line.
     """
-    if section is None:
-        lines = spark.read.text(path).select(
-            "value",
-            F.col("_metadata.file_path").alias("file"),
+    lines = spark.read.text(path).select(
+        "value",
+        F.col("_metadata.file_path").alias("file"),
+        F.struct(
             F.col("_metadata.file_block_start").alias("block"),
             F.monotonically_increasing_id().alias("place"),
-        )
-        return parse_label_lines(lines, ["file", "block", "place"])
-
-    statements = spark.read.option("lineSep", ";").text(path)
-    chosen = statements.where(F.col("value").rlike(rf"(?i)\bvalue\s+\$?{section}\s"))
-    lines = chosen.select(
-        F.col("_metadata.file_path").alias("file"),
-        F.posexplode(F.split("value", r"\r?\n")).alias("place", "value"),
+        ).alias("spot"),
     )
-    return parse_label_lines(lines, ["file", "place"])
+    if section is not None:
+        lines = _section(lines, section)
+    return parse_label_lines(lines, ["file", "spot"])

@@ -76,6 +76,7 @@ proc format library=library ;
    101 =  'ALBANIA'
    236 =  'SECOND NAME'
    7 = 'CUT=OFF'
+   9 = 'SEMI; COLON'
    8='TIGHT' ;
   value $i94prtl
    'ALC' = 'ALCAN, AK'
@@ -97,10 +98,25 @@ def test_label_lines(spark, tmp_path):
         "101": "ALBANIA",
         "7": "CUT",
         "8": "TIGHT",
+        "9": "SEMI; COLON",
     }
     assert catalog(sources.read_label_catalog(spark, str(path), section="i94cntyl")) == country
     everything = country | {"101": "OTHER SECTION", "'ALC'": "ALCAN, AK"}
     assert catalog(sources.read_label_catalog(spark, str(path))) == everything
+    ports = {"'ALC'": "ALCAN, AK", "101": "OTHER SECTION"}
+    assert catalog(sources.read_label_catalog(spark, str(path), section="i94prtl")) == ports
+    assert catalog(sources.read_label_catalog(spark, str(path), section="absent")) == {}
+    # the section is found when the file is cut into many splits, and runs to
+    # the end of the file if nothing closes it
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        assert catalog(sources.read_label_catalog(spark, str(path), section="i94cntyl")) == country
+        path.write_text(LABELS.replace("\n;\n", "\n"))
+        assert catalog(sources.read_label_catalog(spark, str(path), section="i94prtl")) == ports
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
 
 
 def test_label_order_holds_over_splits_and_files(spark, tmp_path):
