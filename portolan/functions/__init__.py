@@ -3,6 +3,7 @@ from portolan.functions.expressions import (
     calendar_parts,
     column,
     format_count,
+    format_float,
     is_missing,
     is_present,
     sas_date,
@@ -16,6 +17,7 @@ __all__ = [
     "calendar_parts",
     "column",
     "format_count",
+    "format_float",
     "is_missing",
     "is_present",
     "sas_date",

@@ -9,6 +9,9 @@ from pyspark.sql import types as T
 # Fixed value: SAS counts days from this date.
 SAS_EPOCH = "1960-01-01"
 
+# Fixed value: groups of three digits, at least one and at most 17 decimals.
+GROUPED_DECIMALS = "#,##0.0################"
+
 
 def column(name: str) -> Column:
     """A column by its exact name, also when the name holds dots or backticks."""
@@ -89,3 +92,11 @@ def calendar_parts(date: Column, prefix: str = "") -> dict[str, Column]:
 def format_count(n: Column) -> Column:
     """Whole number with thousands separators."""
     return F.format_number(n, 0)
+
+
+def format_float(x: Column) -> Column:
+    """Floating-point number with thousands separators and all its decimals.
+
+    Numbers are written out in full, never with an exponent.
+    """
+    return F.call_function("format_number", x, F.lit(GROUPED_DECIMALS))

@@ -57,12 +57,13 @@ def build_country_dimension(
     handle codes and not arrivals. Without a mapping row the name is null,
     without readings under that name the average is null. ``titled``
     title-cases the names, which is how the readings spell them; otherwise
-    names are compared as they are. ``mapping`` has unique codes.
+    names are compared as they are. A code with several names in ``mapping``
+    gets a row for each.
     """
     staging = staging or Staging(df.sparkSession)
     codes = distinct_values(df, code).withColumnRenamed(code, "country_code")
     name = title_case(F.col("Name")) if titled else F.col("Name")
-    names = mapping.select("code", name.alias("country_name"))
+    names = mapping.select("code", name.alias("country_name")).distinct()
     averages = staging.write(
         average_by(temperature, "Country", "AverageTemperature", "average_temperature"), "averages"
     )

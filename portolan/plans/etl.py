@@ -69,11 +69,18 @@ def build_star(
     four agree and the sort behind the clean-up runs once. Each dimension then
     reads a single column of them. Tables that do not wait for each other are
     written at the same time, which keeps the cluster busy while small ones
-    finish.
+    finish. Staged tables are deleted at the end, unless the caller passes a
+    ``staging`` of their own.
     """
+    if staging is None:
+        staging = Staging(arrivals.sparkSession)
+        try:
+            return build_star(
+                arrivals, demographics, temperature, mapping, output, rare_duplicates, staging
+            )
+        finally:
+            staging.clear()
     spark = arrivals.sparkSession
-    own = staging is None
-    staging = staging or Staging(spark)
 
     def store(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
         path = f"{output.rstrip('/')}/{name}"
@@ -104,16 +111,13 @@ def build_star(
             build_key_dimension(cleaned, "visatype", "visa_type_key", staging), "visatype"
         )
         fact = store(build_fact(cleaned, visatype), "immigration_fact")
-        tables = StarTables(
+        return StarTables(
             visatype=visatype,
             immigration_time=calendar.result(),
             country=country.result(),
             demographics=cities.result(),
             immigration_fact=fact,
         )
-    if own:
-        staging.clear()
-    return tables
 
 
 def check_star(tables: StarTables) -> DataFrame:

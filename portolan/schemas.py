@@ -101,6 +101,20 @@ COMMENTS = {
         "i94mode": "way of travel: 1 air, 2 sea, 3 land, 9 not reported",
         "state_code": "state of the address; joins demographics.state_code, many rows there",
         "depdate": "date of departure",
+        "i94bir": "age of the traveller in years",
+        "i94visa": "purpose of the visit as a code",
+        "count": "1 for every record",
+        "dtadfile": "date the record was added, as text",
+        "visapost": "post that issued the visa",
+        "entdepa": "flag set at arrival",
+        "entdepd": "flag set at departure",
+        "matflag": "whether arrival and departure were matched",
+        "biryear": "year of birth",
+        "dtaddto": "date until which the stay is allowed, as text",
+        "gender": "gender as recorded",
+        "airline": "airline of arrival",
+        "admnum": "admission number, 64-bit",
+        "fltno": "flight of arrival",
         "visa_type_key": "joins visatype.visa_type_key; null without a visa type",
     },
 }

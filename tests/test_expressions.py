@@ -89,6 +89,12 @@ def test_format_count(spark):
     assert got == ["0", "999", "1,000", "-1,234,567", None]
 
 
+def test_format_float(spark):
+    rows = [0.0, 1.5, -1234567.891, 1000.0, 123456789012.34, 0.30000000000000004, 12345678.0]
+    got = values(spark, "x double", rows + [None], s=fx.format_float(F.col("x")))
+    assert got == ["{:,}".format(x) for x in rows] + [None]
+
+
 def test_missing_looks_for_nan_in_numbers_only(spark):
     df = spark.createDataFrame(
         [(math.nan, "nan", dt.date(2020, 1, 1)), (1.0, None, None), (None, "x", None)],

@@ -363,6 +363,8 @@ FROM (SELECT o_orderkey, CAST(date_diff('day', DATE '1995-01-01', CAST(o_orderda
   CAST(month(d) AS INT) AS month, CAST(year(d) AS INT) AS year, CAST(dayofweek(d) + 1 AS INT) AS weekday
 FROM (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS d FROM orders)""",
     "format_count": "SELECT o_orderkey, format('{:,}', o_orderkey * o_custkey) AS formatted FROM orders",
+    "format_float": """SELECT o_orderkey, format('{:,}', o_totalprice) AS price,
+  format('{:,}', -o_totalprice / 8) AS eighth FROM orders""",
     "dim_surrogate_key": f"WITH {PRIORITY} SELECT * FROM priority",
     "dense_key_large": f"""SELECT row_number() OVER (ORDER BY {_last(
         ["l_orderkey", "l_partkey", "l_suppkey"]

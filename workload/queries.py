@@ -266,6 +266,14 @@ def format_count(spark, sf_dir):
     )
 
 
+def format_float(spark, sf_dir):
+    return table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        fx.format_float(F.col("o_totalprice")).alias("price"),
+        fx.format_float(-F.col("o_totalprice") / 8).alias("eighth"),
+    )
+
+
 # ---------------------------------------------------------------- keys and dimensions
 
 
@@ -418,7 +426,7 @@ QUERIES: dict[str, Query] = {
         dropna_single, dropna_any, dropna_loss, dedup_loss, cleaning_loss, null_profile, null_percent,
         row_count, distinct_values, avg_by_group, preview,
         dedup_single_key, dedup_composite_key, dedup_rare_keys,
-        double_to_int, sas_date, sas_date_string, date_to_string, title_case, calendar_parts, format_count,
+        double_to_int, sas_date, sas_date_string, date_to_string, title_case, calendar_parts, format_count, format_float,
         dim_surrogate_key, dense_key_large, calendar_dim, country_dim, country_dim_titled, demographics_dim,
         fact_dim_key, fact_dim_key_nullsafe, fact_dim_key_shuffled,
         clean_arrivals, clean_arrivals_text_dates, clean_temperature, clean_demographics,
