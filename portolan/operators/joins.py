@@ -94,7 +94,8 @@ def _join_in_pieces(
     partitions, hence they can be broadcast. Their fact rows are spread by a
     hash of the whole row over as many pieces as they have shares, and their
     dimension row is repeated once per piece. The hash, unlike a random number
-    or a row counter, is the same when a lost task is run again.
+    or a row counter, is the same when a lost task is run again. Exact copies
+    of one fact row share a piece; adaptive execution splits those by size.
 
     The dimension has been measured as too large, so the hint keeps Spark from
     broadcasting it after all on account of its smaller, compressed file size.
