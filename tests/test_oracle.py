@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry_module
 from portolan import operators as ops
 from portolan import plans
+from portolan.plans.etl import loss_report
 from tests import compare
 from workload import standins
 
@@ -105,3 +106,40 @@ def test_calendar_filter_prunes_folders(spark):
 
 def test_counting_reads_no_column(spark):
     assert "ReadSchema: struct<>" in physical(ops.row_counts({"t": standins.table(spark, SF, "lineitem")}))
+
+
+# ---------------------------------------------------------------- properties
+
+
+def sources_of(spark):
+    return [f(spark, SF) for f in (standins.arrivals, standins.demographics, standins.temperature, standins.mapping)]
+
+
+def test_star_does_not_depend_on_partitioning(spark, tmp_path):
+    results = []
+    for n in ("1", "4", "17"):
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+        try:
+            arrivals, *rest = sources_of(spark)
+            star = plans.build_star(arrivals.repartition(int(n)), *rest, str(tmp_path / n))
+            results.append({k: sorted(map(repr, df.collect())) for k, df in star.named().items()})
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert results[0] == results[1] == results[2]
+
+
+def test_losses_equal_the_rows_that_cleaning_leaves(spark):
+    arrivals, demographics, temperature, _ = sources_of(spark)
+    left = {
+        "arrivals": plans.clean_arrivals(arrivals).count(),
+        "demographics": plans.clean_demographics(demographics).count(),
+        "temperature": plans.clean_temperature(temperature).count(),
+    }
+    for r in loss_report(arrivals, demographics, temperature).collect():
+        assert r.after == left[r.source]
+        assert r.before == r.after + r.dropped_missing + r.dropped_duplicates
+
+
+def test_fact_keeps_every_record_once(spark):
+    fact = QUERIES["star_fact"](spark, SF)
+    assert fact.count() == fact.select("record_id").distinct().count() == 4599
