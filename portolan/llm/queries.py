@@ -5,12 +5,42 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from portolan.llm.decontaminate import find_leaks
 from portolan.llm.near_dedup import near_duplicates
+from portolan.llm.quality import select
+from portolan.llm.substring_dedup import remove_repeats
 from portolan.llm.tables import documents, ship
 from portolan.sinks import Staging
 
 
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    out = find_leaks(documents(spark, sf_dir).select("doc_id", "text"), documents(spark, sf_dir, "benchmark"))
+    best = F.get("leaks", F.lit(0))
+    return out.select(
+        "doc_id",
+        (F.size("leaks") > 0).alias("contaminated"),
+        best["item_id"].alias("item_id"),
+        best["similarity"].alias("similarity"),
+        F.transform("leaks", lambda x: x["item_id"]).alias("item_ids"),
+    )
+
+
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    out = select(docs, documents(spark, sf_dir, "labels"), staging=Staging(spark))
+    return out.select("doc_id", "log_weight", "gumbel_key", "selected")
+
+
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    out = remove_repeats(documents(spark, sf_dir), min_words=20, staging=Staging(spark))
+    return out.select("record.doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
     out = near_duplicates(documents(spark, sf_dir), shingle_words=4, percent=80, staging=Staging(spark))
@@ -18,6 +48,9 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_decontaminate": op1_decontaminate,
+    "op5_quality": op5_quality,
+    "op7_substring_dedup": op7_substring_dedup,
     "op10_near_dedup": op10_near_dedup,
 }
 

@@ -43,9 +43,11 @@ def numbered(docs: DataFrame) -> DataFrame:
 
 
 def stored(docs: DataFrame, staging: Staging, label: str = "docs") -> DataFrame:
-    """``docs`` itself if it merely scans files, else a stored copy of it."""
-    files = docs._jdf.queryExecution().optimizedPlan().getClass().getSimpleName()
-    return docs if files == "LogicalRelation" and docs.inputFiles() else staging.write(docs, label)
+    """``docs`` itself if it merely reads columns of files, else a stored copy of it."""
+    plan = docs._jdf.queryExecution().optimizedPlan()
+    while plan.nodeName() == "Project":
+        plan = plan.child()
+    return docs if plan.nodeName() == "LogicalRelation" or "Relation" in plan.nodeName() else staging.write(docs, label)
 
 
 def text_bytes(docs: DataFrame, text: str) -> int:

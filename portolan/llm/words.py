@@ -20,7 +20,7 @@ _LOWER[65:91] += 32
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
 _K1, _K2, _K3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
-_BASE = np.uint64(0xD6E8FEB86659FD93)
+BASE = np.uint64(0xD6E8FEB86659FD93)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -39,6 +39,7 @@ class Block:
     starts: np.ndarray
     ends: np.ndarray
     counts: np.ndarray
+    bounds: np.ndarray  # where each text begins in ``data``; one more entry for the end
 
     @property
     def offsets(self) -> np.ndarray:
@@ -106,7 +107,7 @@ def _block(first: int, data: np.ndarray, bounds: np.ndarray) -> Block:
         begins[1:] &= ~inside[:-1] | cut[1:-1]
         stops[:-1] &= ~inside[1:] | cut[1:-1]
     starts, ends = np.flatnonzero(begins), np.flatnonzero(stops) + 1
-    return Block(first, data, starts, ends, np.diff(np.searchsorted(starts, bounds)))
+    return Block(first, data, starts, ends, np.diff(np.searchsorted(starts, bounds)), bounds)
 
 
 def runs(hashes: np.ndarray, length: int) -> np.ndarray:
@@ -125,7 +126,7 @@ def runs(hashes: np.ndarray, length: int) -> np.ndarray:
 
 def joined(left: np.ndarray, right: np.ndarray, length: int) -> np.ndarray:
     """Hash of the run ``left[i]`` of ``length`` words followed by the run ``right[i + length]``."""
-    factor = np.uint64(pow(int(_BASE), length, 1 << 64))
+    factor = np.uint64(pow(int(BASE), length, 1 << 64))
     n = len(right) - length
     return mix(left[:n] * factor + right[length : length + n])
 
