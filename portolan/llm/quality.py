@@ -11,7 +11,7 @@ sum of all weights, the number of texts that are expected to pass.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -28,7 +28,8 @@ GRAM, SLOT_BITS = 5, 19
 # The last slot counts words that repeat the word before them.
 SLOTS = (1 << SLOT_BITS) + 1
 WINDOWS = (6, 64)
-PRIOR = 20.0
+# Smoothing counts to choose from: the better one on labelled rows, for each window.
+PRIORS = (1.0, 5.0, 20.0, 80.0)
 TEMPERATURE = 0.5
 # Labelled rows that may be used: a share of all labels, fixed by hash, of about this many.
 MAX_LABELS = 200_000
@@ -79,19 +80,20 @@ def _added(table: pa.Table) -> pa.Table:
     return pa.table({"segment": table.column("segment")[:1], "counts": pa.array([total.tobytes()], pa.binary())})
 
 
-def lowest_windows(column: pa.Array | pa.ChunkedArray, ratios: np.ndarray) -> list[np.ndarray]:
-    """Per window length, each text's smallest sum of log ratios over that many n-grams in a row."""
-    out: list[list[np.ndarray]] = [[] for _ in WINDOWS]
+def lowest_windows(column: pa.Array | pa.ChunkedArray, tables: Sequence[tuple[np.ndarray, int]]) -> list[np.ndarray]:
+    """Per (log ratios, window), each text's smallest sum of ratios over that many n-grams in a row."""
+    out: list[list[np.ndarray]] = [[] for _ in tables]
     for block in words.blocks(column, lower=True):
         slots, again = features(block)
-        x = ratios[slots].astype(np.float64)
-        x[again] += ratios[-1]
-        x[~_usable(block)] = 0
-        total = np.concatenate(([0.0], np.cumsum(x)))
+        unusable = ~_usable(block)
         size = np.diff(block.bounds)
         begin, n = block.bounds[:-1], np.maximum(size - GRAM + 1, 0)
         stop = np.repeat(begin + n, size)
-        for k, width in enumerate(WINDOWS):
+        for k, (ratios, width) in enumerate(tables):
+            x = ratios[slots].astype(np.float64)
+            x[again] += ratios[-1]
+            x[unusable] = 0
+            total = np.concatenate(([0.0], np.cumsum(x)))
             sums = np.full(len(x), np.inf)
             fits = np.flatnonzero(np.arange(len(x)) + width <= stop)
             sums[fits] = total[fits + width] - total[fits]
@@ -109,26 +111,24 @@ def lowest_windows(column: pa.Array | pa.ChunkedArray, ratios: np.ndarray) -> li
 
 @dataclass
 class Model:
-    ratios: np.ndarray
-    limits: tuple[float, ...]
+    """Log ratios, window and limit of each test that a text has to pass."""
+
+    tests: list[tuple[np.ndarray, int, float]]
 
     def weigh(self):
         """Column function: log importance weight (at most 0) of a text."""
-        shared, limits = self.ratios, self.limits
+        tables, limits = [(r, w) for r, w, _ in self.tests], [t for _, _, t in self.tests]
 
         @F.arrow_udf("double")
         def log_weight(text: pa.Array) -> pa.Array:
-            low = lowest_windows(text, shared)
-            gap = [(m - t) / TEMPERATURE for m, t in zip(low, limits, strict=True) if np.isfinite(t)]
+            gap = [(m - t) / TEMPERATURE for m, t in zip(lowest_windows(text, tables), limits, strict=True)]
             return pa.array(np.minimum(0.0, np.min(gap, axis=0)) if gap else np.zeros(len(text)))
 
         return log_weight
 
 
-def _limit(good: np.ndarray, bad: np.ndarray) -> float:
-    """The split of two samples with the fewest errors in proportion; amid the best ones."""
-    if not len(good) or not len(bad):
-        return -np.inf
+def _limit(good: np.ndarray, bad: np.ndarray) -> tuple[float, float]:
+    """The split of two samples with the fewest errors in proportion, amid the best ones; and how good it is."""
     cuts = np.unique(np.concatenate((good, bad)))
     cuts = np.concatenate(([cuts[0] - 1], (cuts[1:] + cuts[:-1]) / 2, [cuts[-1] + 1]))
     kept = 1 - np.searchsorted(np.sort(good), cuts, "right") / len(good)
@@ -136,7 +136,7 @@ def _limit(good: np.ndarray, bad: np.ndarray) -> float:
     # A target text lost weighs as much as three others let through.
     value = 3 * kept + caught
     best = np.flatnonzero(value >= value.max() - 1e-12)
-    return float(cuts[best].mean())
+    return float(cuts[best].mean()), float(value.max())
 
 
 def with_roles(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -156,32 +156,43 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
 
     ``docs`` has doc_id and text; ``labels`` has doc_id, quality and toxic (1 or 0).
     Target rows are those of quality 1 that are not toxic; half of them, by hash,
-    give the target model, the rest the limits. Without labels of a kind the
-    limit it would set is absent and refuses nothing.
+    give the target model, the rest the limits: of the short window against toxic
+    rows, of the long one against rows of quality 0. Without labels of a kind its
+    test is absent and refuses nothing.
     """
     rows = with_roles(docs.select("doc_id", "text"), labels.select("doc_id", "quality", "toxic"))
     parts = rows.select("text", "role").mapInArrow(_counts, "segment int, counts binary")
     parts = parts.groupBy("segment").applyInArrow(_added, "segment int, counts binary").collect()
     if not parts:
-        return Model(np.zeros(SLOTS, np.float32), tuple(-np.inf for _ in WINDOWS))
+        return Model([])
     # SLOTS numbers per model, however large the corpus is.
     both = [np.frombuffer(x.counts, "<i8").reshape(2, -1) for x in sorted(parts)]
     raw, target = np.concatenate(both, axis=1).astype(np.float64)
     if not target.any():
-        return Model(np.zeros(SLOTS, np.float32), tuple(-np.inf for _ in WINDOWS))
+        return Model([])
     share = target[:-1].sum() / raw[:-1].sum()
-    ratios = np.log((target + PRIOR * share) / ((raw + PRIOR) * share)).astype(np.float32)
+    ratios = [np.log((target + p * share) / ((raw + p) * share)).astype(np.float32) for p in PRIORS]
+    tables = [(r, w) for w in WINDOWS for r in ratios]
+    names = [f"m{k}" for k in range(len(tables))]
 
-    @F.arrow_udf("struct<" + ",".join(f"m{k}:double" for k in range(len(WINDOWS))) + ">")
+    @F.arrow_udf("struct<" + ",".join(f"{x}:double" for x in names) + ">")
     def low(text: pa.Array) -> pa.Array:
-        return pa.StructArray.from_arrays([pa.array(x) for x in lowest_windows(text, ratios)], [f"m{k}" for k in range(len(WINDOWS))])
+        return pa.StructArray.from_arrays([pa.array(x) for x in lowest_windows(text, tables)], names)
 
     # At most MAX_LABELS rows or so.
     known = rows.where(F.col("role") > FIT).select("role", low("text").alias("m")).select("role", "m.*").collect()
-    known = np.array([list(x) for x in known], np.float64).reshape(-1, 1 + len(WINDOWS))
-    of = lambda role, k: known[known[:, 0] == role, 1 + k]
-    limits = (_limit(of(CHECK, 0), of(TOXIC, 0)), _limit(of(CHECK, 1), of(LOW, 1)))
-    return Model(ratios, limits)
+    known = np.array([list(x) for x in known], np.float64).reshape(-1, 1 + len(tables))
+    tests = []
+    for width, role in zip(WINDOWS, (TOXIC, LOW), strict=True):
+        found = []
+        for k, (r, w) in enumerate(tables):
+            good, bad = known[known[:, 0] == CHECK, 1 + k], known[known[:, 0] == role, 1 + k]
+            if w == width and len(good) and len(bad):
+                limit, value = _limit(good, bad)
+                found.append((value, k, (r, w, limit)))
+        if found:
+            tests.append(max(found, key=lambda x: (x[0], x[1]))[2])
+    return Model(tests)
 
 
 def select(docs: DataFrame, labels: DataFrame, *, k: int | None = None, seed: int = 0, staging: Staging) -> DataFrame:
