@@ -7,14 +7,26 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from portolan.llm.bpe_texts import encode_decode
 from portolan.llm.decontaminate import find_leaks
 from portolan.llm.near_dedup import near_duplicates
 from portolan.llm.quality import select
 from portolan.llm.substring_dedup import remove_repeats
 from portolan.llm.tables import documents, ship
+from portolan.llm.token_counts import count_tokens
+from portolan.llm.token_files import read_documents, write_tokens
 from portolan.sinks import Staging
 
 
+VOCABULARY = "word_bpe_49k.json"
+
+
+def vocabulary() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(VOCABULARY)
+
+
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
     out = find_leaks(documents(spark, sf_dir).select("doc_id", "text"), documents(spark, sf_dir, "benchmark"))
@@ -28,6 +40,19 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    folder = Staging(spark).path("tokens")
+    write_tokens(documents(spark, sf_dir), folder, vocabulary(), end=1)
+    return read_documents(spark, folder).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    out = encode_decode(documents(spark, sf_dir).select("doc_id", "text"), vocabulary())
+    return out.select("doc_id", "bpe.n_tokens", "bpe.ids_sha256", "bpe.decoded_sha256")
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
     docs = documents(spark, sf_dir).select("doc_id", "text")
@@ -41,6 +66,17 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("record.doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    out = count_tokens(documents(spark, sf_dir).select("doc_id", "text"), vocabulary())
+    return out.select(
+        "doc_id",
+        F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"),
+        "n_tokens",
+        (F.col("n_tokens") > 2048).alias("over_limit"),
+    )
+
+
 def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
     out = near_duplicates(documents(spark, sf_dir), shingle_words=4, percent=80, staging=Staging(spark))
@@ -49,8 +85,11 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
+    "op2_token_files": op2_token_files,
+    "op3_bpe": op3_bpe,
     "op5_quality": op5_quality,
     "op7_substring_dedup": op7_substring_dedup,
+    "op9_token_counts": op9_token_counts,
     "op10_near_dedup": op10_near_dedup,
 }
 
