@@ -9,12 +9,14 @@ from pyspark.sql import functions as F
 
 from portolan.llm.bpe_texts import encode_decode
 from portolan.llm.decontaminate import find_leaks
+from portolan.llm import language
 from portolan.llm.near_dedup import near_duplicates
 from portolan.llm.quality import select
 from portolan.llm.substring_dedup import remove_repeats
 from portolan.llm.tables import documents, ship
 from portolan.llm.token_counts import count_tokens
 from portolan.llm.token_files import read_documents, write_tokens
+from portolan.llm.warc import archive, read_archives
 from portolan.sinks import Staging
 
 
@@ -53,6 +55,14 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "bpe.n_tokens", "bpe.ids_sha256", "bpe.decoded_sha256")
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    staging = Staging(spark)
+    folder = staging.path("archives")
+    archive(documents(spark, sf_dir, "pages"), folder, staging=staging)
+    return read_archives(spark, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
     docs = documents(spark, sf_dir).select("doc_id", "text")
@@ -60,6 +70,17 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "log_weight", "gumbel_key", "selected")
 
 
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
+    held_out = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4)) == 2
+    model = language.fit(docs.where(F.coalesce(~held_out, F.lit(False))))
+    out = language.identify(docs.drop("lang"), model)
+    return out.select(
+        "doc_id", held_out.alias("held_out"), F.col("language.lang").alias("lang_pred"), F.col("language.score").alias("score")
+    )
+
+
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
     out = remove_repeats(documents(spark, sf_dir), min_words=20, staging=Staging(spark))
@@ -87,7 +108,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_token_files": op2_token_files,
     "op3_bpe": op3_bpe,
+    "op4_warc": op4_warc,
     "op5_quality": op5_quality,
+    "op6_language": op6_language,
     "op7_substring_dedup": op7_substring_dedup,
     "op9_token_counts": op9_token_counts,
     "op10_near_dedup": op10_near_dedup,
