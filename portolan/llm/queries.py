@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from portolan.llm.bpe_texts import encode_decode
 from portolan.llm.decontaminate import find_leaks
 from portolan.llm import language
+from portolan.llm.fingerprint import with_edits
 from portolan.llm.near_dedup import near_duplicates
 from portolan.llm.quality import select
 from portolan.llm.substring_dedup import remove_repeats
@@ -87,6 +88,10 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("record.doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op8_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_edits(documents(spark, sf_dir), Staging(spark))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
     out = count_tokens(documents(spark, sf_dir).select("doc_id", "text"), vocabulary())
@@ -104,6 +109,12 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline  # beside the package; it imports this module
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_token_files": op2_token_files,
@@ -112,8 +123,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_quality": op5_quality,
     "op6_language": op6_language,
     "op7_substring_dedup": op7_substring_dedup,
+    "op8_fingerprint": op8_fingerprint,
     "op9_token_counts": op9_token_counts,
     "op10_near_dedup": op10_near_dedup,
+    "pipeline": pipeline,
 }
 
 ORACLE: dict[str, str] = {}

@@ -285,26 +285,31 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(ROW), batch.column("record"), data], [ROW, "record", "packed"])
 
 
-def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    unpress = zstandard.ZstdDecompressor()
-    for batch in batches:
-        for at in range(0, len(batch), 1000):
-            part = batch.slice(at, 1000)
-            total, removed, kept = [], [], []
-            for data, spans in zip(part.column("packed").to_pylist(), part.column("spans").to_pylist(), strict=True):
-                own = unpress.decompress(data).split() if data is not None else []
-                total.append(len(own))
-                if spans is not None:
-                    cover = np.ones(len(own), bool)
-                    for a, b in np.frombuffer(spans, "<i8").reshape(-1, 2):
-                        cover[a:b] = False
-                    own = [own[i] for i in np.flatnonzero(cover)]
-                removed.append(total[-1] - len(own))
-                kept.append(b" ".join(own).decode())
-            yield pa.RecordBatch.from_arrays(
-                [part.column("record"), pa.array(total, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.string())],
-                ["record", "n_words", "n_removed", "kept"],
-            )
+def _kept(as_is: bool):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpress = zstandard.ZstdDecompressor()
+        for batch in batches:
+            for at in range(0, len(batch), 1000):
+                part = batch.slice(at, 1000)
+                total, removed, kept = [], [], []
+                for data, spans in zip(part.column("packed").to_pylist(), part.column("spans").to_pylist(), strict=True):
+                    text = None if data is None else unpress.decompress(data)
+                    own = text.split() if text is not None else []
+                    total.append(len(own))
+                    if spans is not None:
+                        cover = np.ones(len(own), bool)
+                        for a, b in np.frombuffer(spans, "<i8").reshape(-1, 2):
+                            cover[a:b] = False
+                        own = [own[i] for i in np.flatnonzero(cover)]
+                    removed.append(total[-1] - len(own))
+                    kept.append(text if as_is and not removed[-1] else b" ".join(own))
+                kept = pa.array(kept, pa.binary()).cast(pa.string())
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("record"), pa.array(total, pa.int64()), pa.array(removed, pa.int64()), kept],
+                    ["record", "n_words", "n_removed", "kept"],
+                )
+
+    return run
 
 
 def remove_repeats(
@@ -315,6 +320,7 @@ def remove_repeats(
     doc_id: str = "doc_id",
     text: str = "text",
     carry: Sequence[str] = (),
+    as_is: bool = False,
 ) -> DataFrame:
     """Remove every word covered by a window of ``min_words`` words whose like starts earlier.
 
@@ -323,7 +329,8 @@ def remove_repeats(
     the input. Gives one row per row of ``docs``: ``record`` (a struct of
     ``doc_id`` and the columns named in ``carry``, under their own names),
     n_words, n_removed, kept. ``kept`` joins the words that stay by one space. A
-    null or wordless text has no words and gives the empty text.
+    null or wordless text has no words and gives the empty text. With ``as_is`` a
+    text that loses nothing is given unchanged, white space, null and all.
     """
     record = F.struct(F.col(doc_id), *[F.col(c) for c in carry if c != doc_id]).alias("record")
     docs = docs.select(record, F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
@@ -347,5 +354,5 @@ def remove_repeats(
     shape = docs.schema["record"].dataType.simpleString()
     packed = rows.select(ROW, "record", "text").mapInArrow(_packed, f"{ROW} long, record {shape}, packed binary")
     return packed.join(spans, ROW, "left").select("record", "packed", "spans").mapInArrow(
-        _kept, f"record {shape}, n_words long, n_removed long, kept string"
+        _kept(as_is), f"record {shape}, n_words long, n_removed long, kept string"
     )
