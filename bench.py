@@ -21,7 +21,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 from workload.queries import QUERIES  # noqa: E402
 
 HEADLINE = [
-    "star_summary", "star_checks", "clean_arrivals", "clean_temperature", "clean_demographics",
+    "star_summary", "star_summary_shuffled", "star_checks", "clean_arrivals", "clean_temperature", "clean_demographics",
     "fact_dim_key", "fact_dim_key_nullsafe", "fact_dim_key_shuffled",
     "country_dim", "country_dim_titled", "calendar_dim", "demographics_dim", "dim_surrogate_key",
     "dense_key_large", "dedup_single_key", "dedup_composite_key", "dedup_rare_keys", "dropna_any",

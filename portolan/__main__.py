@@ -33,8 +33,13 @@ def main(argv: list[str] | None = None) -> None:
         args.arrivals_format,
         args.infer,
     )
-    checks = check_star(tables)
-    checks.show(100, truncate=False)
+    print(*tables.losses.columns, sep="\t")
+    for row in tables.losses.collect():
+        print(*row, sep="\t")
+    # Computed once: a row per check.
+    checks = check_star(tables).collect()
+    for row in checks:
+        print(row.status, row.check_name, row.table_name, row.columns, row.measured, sep="\t")
     if args.strict:
         raise_on_failure(checks)
 

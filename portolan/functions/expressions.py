@@ -9,6 +9,9 @@ from pyspark.sql import types as T
 # Fixed value: SAS counts days from this date.
 SAS_EPOCH = "1960-01-01"
 
+# Day numbers of 0001-01-01 and 9999-12-31, between which dates can be shown.
+SAS_FIRST, SAS_LAST = -715509, 2936549
+
 # Fixed value: groups of three digits, at least one and at most 17 decimals.
 GROUPED_DECIMALS = "#,##0.0################"
 
@@ -52,8 +55,12 @@ def truncate_to_int(c: Column, wide: bool = False) -> Column:
 
 
 def sas_date(days: Column, zero_as_null: bool = False) -> Column:
-    """SAS day number to date. Day 0 is the epoch unless ``zero_as_null``."""
+    """SAS day number to date. Day 0 is the epoch unless ``zero_as_null``.
+
+    Numbers before year 1 or after year 9999 give null.
+    """
     n = truncate_to_int(days)
+    n = F.when(n.between(SAS_FIRST, SAS_LAST), n)
     if zero_as_null:
         n = F.nullif(n, F.lit(0))
     return F.date_add(F.lit(SAS_EPOCH).cast("date"), n)

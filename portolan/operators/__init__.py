@@ -11,7 +11,7 @@ from portolan.operators.groups import average_by, distinct_values, preview, row_
 from portolan.operators.joins import broadcast_limit, fits_broadcast, lookup_join, measured_bytes
 from portolan.operators.keys import add_dense_key, dense_key_by_range, dense_key_small
 from portolan.operators.profile import cleaning_loss, dedup_loss, dropna_loss, null_percent, null_profile
-from portolan.operators.quality import check_not_empty, check_not_null, check_unique, raise_on_failure
+from portolan.operators.quality import check_not_empty, check_not_null, check_references, check_unique, raise_on_failure
 from portolan.operators.rows import drop_missing
 
 __all__ = [
@@ -20,6 +20,7 @@ __all__ = [
     "broadcast_limit",
     "check_not_empty",
     "check_not_null",
+    "check_references",
     "check_unique",
     "cleaning_loss",
     "dedup",

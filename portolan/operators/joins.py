@@ -26,12 +26,8 @@ def broadcast_limit(spark: SparkSession) -> int:
     return int(number) * SIZE_UNITS[unit]
 
 
-def measured_bytes(df: DataFrame) -> int:
-    """Size of ``df`` in memory, from its row count and its real text lengths.
-
-    One aggregate; for a stored table of fixed-width columns it is answered
-    from the file footers.
-    """
+def _row_bytes(df: DataFrame) -> Column:
+    """Size of a row in memory, from its real text lengths."""
     fixed, texts = ROW_OVERHEAD, []
     for f in df.schema:
         fixed += 8
@@ -39,9 +35,44 @@ def measured_bytes(df: DataFrame) -> int:
             texts.append(F.coalesce(F.octet_length(column(f.name)), F.lit(0)))
         elif not isinstance(f.dataType, (T.NumericType, T.BooleanType, T.DatetimeType)):
             texts.append(F.coalesce(F.octet_length(F.to_json(F.struct(column(f.name)))), F.lit(0)))
-    text_bytes = F.sum(functools.reduce(operator.add, texts)) if texts else F.lit(0)
-    rows, text = df.agg(F.count(F.lit(1)), F.coalesce(text_bytes, F.lit(0))).first()
-    return rows * fixed + int(text)
+    return functools.reduce(operator.add, texts, F.lit(fixed)).cast("long")
+
+
+def measured_bytes(df: DataFrame) -> int:
+    """Size of ``df`` in memory; one aggregate."""
+    return int(df.agg(F.coalesce(F.sum(_row_bytes(df)), F.lit(0))).first()[0])
+
+
+def _measured_dimension(dim: DataFrame, keys: list[str], null_safe: bool) -> int:
+    """Size of a dimension in memory; the same aggregate makes sure that no key repeats.
+
+    A key with a null finds nothing unless ``null_safe``, so it may repeat.
+    """
+    matched = F.lit(True) if null_safe else functools.reduce(operator.and_, [column(k).isNotNull() for k in keys])
+    per_key = dim.groupBy(*[column(k) for k in keys]).agg(
+        F.count(F.lit(1)).alias("__n"), F.sum(_row_bytes(dim)).alias("__bytes")
+    )
+    size, repeated = per_key.agg(
+        F.coalesce(F.sum("__bytes"), F.lit(0)), F.count_if((F.col("__n") > 1) & matched)
+    ).first()
+    if repeated:
+        raise ValueError(f"{repeated} keys of the dimension occur more than once; a lookup needs unique keys")
+    return int(size)
+
+
+def _hashable(dtype: T.DataType) -> bool:
+    """Whether Spark hashes values of a type: not those with a map or variant inside."""
+    if isinstance(dtype, T.StructType):
+        return all(_hashable(f.dataType) for f in dtype)
+    if isinstance(dtype, T.ArrayType):
+        return _hashable(dtype.elementType)
+    return not isinstance(dtype, (T.MapType, T.VariantType))
+
+
+def _row_hash(df: DataFrame) -> Column:
+    """A hash of a row's hashable columns; without any, of its text form."""
+    names = [f.name for f in df.schema if _hashable(f.dataType)]
+    return F.xxhash64(*[column(c) for c in names]) if names else F.xxhash64(F.to_json(F.struct("*")))
 
 
 def fits_broadcast(df: DataFrame, limit: int | None = None) -> bool:
@@ -63,70 +94,73 @@ def lookup_join(
     on: Mapping[str, str],
     null_safe: bool = False,
     limit: int | None = None,
+    staging: Staging | None = None,
 ) -> DataFrame:
     """Left join that keeps every fact row and adds the columns of ``dim``.
 
-    ``on`` maps fact columns to the key columns of ``dim``; the latter must be
-    unique there and are not part of the result. A null key finds nothing
-    unless ``null_safe``.
+    ``on`` maps fact columns to the key columns of ``dim``; the latter are not
+    part of the result. They must be unique there, and no other column of
+    ``dim`` may have the name of a fact column: both raise ``ValueError``. A
+    null key finds nothing unless ``null_safe``.
 
     A dimension whose measured size is within the broadcast limit is broadcast:
     the fact table is not shuffled and a frequent key does no harm. A larger
-    one is joined by shuffle, with frequent keys cut into pieces.
+    one is joined by shuffle, with frequent keys cut into pieces; their list
+    goes to ``staging``, which the caller clears, or to a folder of its own.
     """
+    taken = {c.lower() for c in fact.columns}
+    clash = [c for c in dim.columns if c not in on.values() and c.lower() in taken]
+    if clash:
+        raise ValueError(f"fact and dimension both have a column {', '.join(clash)}")
     names = {b: f"__dim_{i}" for i, b in enumerate(on.values())}
     dim = dim.withColumnsRenamed(names)
     left, right = list(on), list(names.values())
-    if fits_broadcast(dim, limit):
+    size = _measured_dimension(dim, right, null_safe)
+    limit = broadcast_limit(fact.sparkSession) if limit is None else limit
+    if 0 < limit and size <= limit:
         joined = fact.join(F.broadcast(dim), _match(left, right, null_safe), "left")
     else:
-        joined = _join_in_pieces(fact, dim, left, right, null_safe)
+        joined = _join_in_pieces(fact, dim, left, right, null_safe, staging or Staging(fact.sparkSession))
     return joined.drop(*right)
 
 
 def _join_in_pieces(
-    fact: DataFrame, dim: DataFrame, left: list[str], right: list[str], null_safe: bool
+    fact: DataFrame, dim: DataFrame, left: list[str], right: list[str], null_safe: bool, staging: Staging
 ) -> DataFrame:
     """Shuffle join in which no key, null included, is bound to a single task.
 
     A key is frequent when it holds more than one shuffle partition's fair
     share of the fact rows. There are at most as many such keys as shuffle
     partitions, hence they can be broadcast. Their fact rows are spread by a
-    hash of the whole row over as many pieces as they have shares, and their
+    hash of the row over as many pieces as they have shares, and their
     dimension row is repeated once per piece. The hash, unlike a random number
     or a row counter, is the same when a lost task is run again. Exact copies
     of one fact row share a piece; adaptive execution splits those by size.
 
     The dimension has been measured as too large, so the hint keeps Spark from
     broadcasting it after all on account of its smaller, compressed file size.
+    ``fact`` is read twice, for its keys and for the join, so it should be a
+    stored table.
     """
     spark = fact.sparkSession
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    share = max(1, fact.count() // partitions)
     hot_names = [f"__hot_{i}" for i in range(len(left))]
-    hot = (
-        fact.groupBy(*[column(c) for c in left])
-        .agg(F.count(F.lit(1)).alias(PIECES))
-        .where(F.col(PIECES) > share)
-        .select(
-            *[column(c).alias(h) for c, h in zip(left, hot_names)],
-            F.ceil(F.col(PIECES) / F.lit(share)).cast("int").alias(PIECES),
-        )
-    )
-    # Staged: both sides need it, and it takes a pass over the fact keys.
-    hot = Staging(spark).write(hot, "frequent-keys")
+    counted = fact.groupBy(*[column(c).alias(h) for c, h in zip(left, hot_names)]).agg(F.count(F.lit(1)).alias(PIECES))
+    # Staged: the total, the shares and both sides of the join come from this one pass over the keys.
+    counted = staging.write(counted, "key-counts")
+    share = max(1, (counted.agg(F.sum(PIECES)).first()[0] or 0) // partitions)
+    hot = counted.where(F.col(PIECES) > share).withColumn(PIECES, F.ceil(F.col(PIECES) / F.lit(share)).cast("int"))
     if hot.isEmpty():
         return fact.join(dim.hint("merge"), _match(left, right, null_safe), "left")
-    row_hash = F.xxhash64(*[column(c) for c in fact.columns])
     pieces = F.coalesce(F.col(PIECES), F.lit(1))
 
-    spread = fact.join(F.broadcast(hot), _match(left, hot_names, True), "left").withColumn(
-        "__fact_piece", F.pmod(row_hash, pieces)
+    spread = fact.withColumn("__hash", _row_hash(fact)).join(F.broadcast(hot), _match(left, hot_names, True), "left").withColumn(
+        "__fact_piece", F.pmod(F.col("__hash"), pieces)
     )
     repeated = dim.join(F.broadcast(hot), _match(right, hot_names, True), "left").withColumn(
         PIECE, F.explode(F.sequence(F.lit(0), pieces - 1))
     )
-    spread = spread.drop(PIECES, *hot_names)
+    spread = spread.drop(PIECES, "__hash", *hot_names)
     repeated = repeated.drop(PIECES, *hot_names)
     same = _match(left, right, null_safe) & (F.col("__fact_piece") == F.col(PIECE))
     return spread.join(repeated.hint("merge"), same, "left").drop("__fact_piece", PIECE)

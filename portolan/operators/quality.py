@@ -5,7 +5,7 @@ from __future__ import annotations
 import functools
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from portolan.functions import column
@@ -66,12 +66,39 @@ def check_not_null(tables: Mapping[str, tuple[DataFrame, Sequence[str]]]) -> Dat
     return functools.reduce(DataFrame.unionByName, results)
 
 
-def raise_on_failure(checks: DataFrame) -> DataFrame:
+def check_references(links: Mapping[tuple[str, str], tuple[DataFrame, DataFrame, str]]) -> DataFrame:
+    """``(table_name, column_name, orphans, status)``: rows whose key its dimension lacks.
+
+    ``links`` maps a table and its column to the table, the dimension and the
+    dimension's column. Rows are counted per key first, so only keys meet the
+    dimension. A null key refers to nothing and is no orphan.
+    """
+    results = []
+    for (name, key), (df, dim, other) in links.items():
+        keys = df.where(column(key).isNotNull()).groupBy(column(key).alias("__key")).agg(F.count(F.lit(1)).alias("__n"))
+        known = dim.select(column(other).alias("__known"))
+        lost = keys.join(known, F.col("__key") == F.col("__known"), "left_anti")
+        results.append(
+            lost.agg(F.coalesce(F.sum("__n"), F.lit(0)).alias("orphans")).select(
+                F.lit(name).alias("table_name"),
+                F.lit(key).alias("column_name"),
+                "orphans",
+                _status(F.col("orphans") == 0),
+            )
+        )
+    return functools.reduce(DataFrame.unionByName, results)
+
+
+def raise_on_failure(checks: DataFrame | Sequence[Row]) -> DataFrame | Sequence[Row]:
     """Raise ``ValueError`` naming the failed checks; else give ``checks`` back.
 
-    Only failed rows reach the driver, at most one per table and checked column.
+    Checks that were collected are taken as they are. Of a frame only failed
+    rows reach the driver, at most one per table and checked column.
     """
-    failed = checks.where(F.col("status") == "FAIL").collect()
+    if isinstance(checks, DataFrame):
+        failed = checks.where(F.col("status") == "FAIL").collect()
+    else:
+        failed = [r for r in checks if r.status == "FAIL"]
     if failed:
         raise ValueError("data quality check failed: " + "; ".join(str(r.asDict()) for r in failed))
     return checks

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from portolan import schemas
-from portolan.functions import sas_date, sas_date_string
+from portolan.functions import column, sas_date, sas_date_string
 from portolan.operators import dedup, dedup_rare, doubles_to_int, drop_columns, drop_missing
 from portolan.sinks import Staging
 
@@ -22,21 +22,33 @@ def clean_arrivals(
     rare_duplicates: bool = False,
     staging: Staging | None = None,
 ) -> DataFrame:
-    """Drop sparse columns, keep one row per record, retype numbers, decode dates.
+    """Drop sparse columns, retype numbers, decode dates, keep one row per record.
 
+    Records are told apart by the retyped key, the one that is stored; those
+    whose key is lost in retyping share the null key and become one row.
     Dates are DATE columns with day 0 at the epoch; ``as_string`` gives ISO
     text and ``zero_as_null`` makes day 0 null. ``rare_duplicates`` avoids
     shuffling whole rows when few records repeat (see ``dedup_rare``); it needs
     ``df`` to be a stored table.
     """
-    df = drop_columns(df, drop)
+    df = retype_arrivals(drop_columns(df, drop), wide, zero_as_null, as_string)
     if rare_duplicates:
-        df = dedup_rare(df, schemas.ARRIVALS_KEY, staging=staging)
-    else:
-        df = dedup(df, schemas.ARRIVALS_KEY)
+        return dedup_rare(df, schemas.ARRIVALS_KEY, staging=staging)
+    return dedup(df, schemas.ARRIVALS_KEY)
+
+
+def retype_arrivals(
+    df: DataFrame,
+    wide: Collection[str] = tuple(schemas.WIDE_ARRIVALS),
+    zero_as_null: bool = False,
+    as_string: bool = False,
+) -> DataFrame:
+    """Doubles to integers, day numbers to dates; a value outside its new type becomes null."""
     decode = sas_date_string if as_string else sas_date
     dates = {c: decode(F.col(c), zero_as_null) for c in ("arrdate", "depdate")}
-    return doubles_to_int(df, [c for c in wide if c in df.columns]).withColumns(dates)
+    # Dates are decoded from the doubles: a number too large for any date must not wrap.
+    typed = doubles_to_int(df.withColumns(dates), [c for c in wide if c in df.columns])
+    return typed.select(*[column(c) for c in df.columns])
 
 
 def clean_temperature(df: DataFrame, date_as_string: bool = True) -> DataFrame:

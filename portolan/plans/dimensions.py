@@ -10,7 +10,6 @@ from portolan.functions import calendar_parts, column, title_case
 from portolan.operators import (
     add_dense_key,
     average_by,
-    dense_key_small,
     distinct_values,
     lookup_join,
     rename_columns,
@@ -32,15 +31,16 @@ def build_key_dimension(
 
 
 def build_calendar_dimension(
-    df: DataFrame, date: str = "arrdate", prefix: str = "arrival_", key: str = "id"
+    df: DataFrame, date: str = "arrdate", prefix: str = "arrival_", key: str = "id", staging: Staging | None = None
 ) -> DataFrame:
     """One row per distinct date with its calendar parts.
 
-    The key is made in one task: there are at most 3.7 million dates from year
-    1 to 9999, whatever the size of ``df``.
+    The distinct values are staged and counted, because nothing bounds them:
+    the column may hold timestamps, or dates far beyond year 9999.
     """
-    days = distinct_values(df, date)
-    return dense_key_small(days.withColumns(calendar_parts(column(date), prefix)), [date], key)
+    staging = staging or Staging(df.sparkSession)
+    days = staging.write(distinct_values(df, date), "days")
+    return add_dense_key(days.withColumns(calendar_parts(column(date), prefix)), [date], key, staging)
 
 
 def build_country_dimension(
@@ -57,18 +57,18 @@ def build_country_dimension(
     handle codes and not arrivals. Without a mapping row the name is null,
     without readings under that name the average is null. ``titled``
     title-cases the names, which is how the readings spell them; otherwise
-    names are compared as they are. A code with several names in ``mapping``
-    gets a row for each.
+    names are compared as they are. Of several names of a code in ``mapping``
+    the first in alphabetical order counts, so that a code has one row.
     """
     staging = staging or Staging(df.sparkSession)
     codes = distinct_values(df, code).withColumnRenamed(code, "country_code")
     name = title_case(F.col("Name")) if titled else F.col("Name")
-    names = mapping.select("code", name.alias("country_name")).distinct()
+    names = mapping.groupBy("code").agg(F.min(name).alias("country_name"))
     averages = staging.write(
         average_by(temperature, "Country", "AverageTemperature", "average_temperature"), "averages"
     )
-    named = lookup_join(codes, names, {"country_code": "code"})
-    return lookup_join(named, averages, {"country_name": "Country"})
+    named = lookup_join(codes, names, {"country_code": "code"}, staging=staging)
+    return lookup_join(named, averages, {"country_name": "Country"}, staging=staging)
 
 
 def build_demographics_dimension(

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import dataclasses
+import functools
+import operator
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
@@ -11,8 +13,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from portolan import schemas
-from portolan.operators import check_not_empty, check_not_null, check_unique, cleaning_loss
-from portolan.plans.cleaning import clean_arrivals, clean_demographics, clean_temperature
+from portolan.functions import column
+from portolan.operators import (
+    check_not_empty,
+    check_not_null,
+    check_references,
+    check_unique,
+    cleaning_loss,
+    drop_columns,
+)
+from portolan.plans.cleaning import clean_arrivals, clean_demographics, clean_temperature, retype_arrivals
 from portolan.plans.dimensions import (
     build_calendar_dimension,
     build_country_dimension,
@@ -21,7 +31,7 @@ from portolan.plans.dimensions import (
 )
 from portolan.plans.star import build_fact
 from portolan.sinks import Staging, write_parquet
-from portolan.sources import load_table, read_csv
+from portolan.sources import load_table, read_csv, read_indexed_csv
 
 
 @dataclasses.dataclass(frozen=True)
@@ -33,17 +43,29 @@ class StarTables:
     country: DataFrame
     demographics: DataFrame
     immigration_fact: DataFrame
+    # What cleaning lost, see :func:`loss_report`; not part of the star.
+    losses: DataFrame | None = None
 
     def named(self) -> dict[str, DataFrame]:
-        return {f.name: getattr(self, f.name) for f in dataclasses.fields(self)}
+        return {f.name: getattr(self, f.name) for f in dataclasses.fields(self) if f.name != "losses"}
 
 
-# Columns that identify a row of each table, and columns that must be filled.
-UNIQUE = {
-    "immigration_time": ["id"],
-    "demographics": ["id"],
-    "visatype": ["visa_type_key"],
-    "country": ["country_code"],
+# Columns that identify a row of each table, and columns that must be filled.
+UNIQUE = [
+    ("immigration_time", ["id"]),
+    ("immigration_time", ["arrdate"]),
+    ("demographics", ["id"]),
+    ("demographics", ["City", "State", "state_code", "Race"]),
+    ("visatype", ["visa_type_key"]),
+    ("visatype", ["visatype"]),
+    ("country", ["country_code"]),
+    ("immigration_fact", ["record_id"]),
+]
+# Links of the fact table.
+LINKS = {
+    "country_residence_code": ("country", "country_code"),
+    "arrdate": ("immigration_time", "arrdate"),
+    "visa_type_key": ("visatype", "visa_type_key"),
 }
 FILLED = {
     "immigration_fact": ["record_id"],
@@ -85,7 +107,12 @@ def build_star(
     def store(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
         path = f"{output.rstrip('/')}/{name}"
         # Only the calendar is partitioned: its folders hold at most a week.
-        write_parquet(df, path, partition_by, schemas.COMMENTS[name], small_folders=True)
+        write_parquet(df, path, partition_by, schemas.COMMENTS[name], small_folders=name == "immigration_time")
+        return load_table(spark, path)
+
+    def losses_table() -> DataFrame:
+        path = f"{output.rstrip('/')}/cleaning_losses"
+        write_parquet(loss_report(arrivals, demographics, temperature), path)
         return load_table(spark, path)
 
     def demographics_table() -> DataFrame:
@@ -93,7 +120,7 @@ def build_star(
         return store(build_demographics_dimension(cities, staging=staging), "demographics")
 
     def calendar_table(cleaned: DataFrame) -> DataFrame:
-        calendar = build_calendar_dimension(cleaned)
+        calendar = build_calendar_dimension(cleaned, staging=staging)
         return store(calendar, "immigration_time", schemas.CALENDAR_PARTITIONS)
 
     def country_table(cleaned: DataFrame) -> DataFrame:
@@ -102,6 +129,7 @@ def build_star(
 
     with ThreadPoolExecutor(max_workers=4) as pool:
         cities = pool.submit(inheritable_thread_target(spark)(demographics_table))
+        losses = pool.submit(inheritable_thread_target(spark)(losses_table))
         cleaned = staging.write(
             clean_arrivals(arrivals, rare_duplicates=rare_duplicates, staging=staging), "arrivals"
         )
@@ -110,21 +138,25 @@ def build_star(
         visatype = store(
             build_key_dimension(cleaned, "visatype", "visa_type_key", staging), "visatype"
         )
-        fact = store(build_fact(cleaned, visatype), "immigration_fact")
+        fact = store(build_fact(cleaned, visatype, staging=staging), "immigration_fact")
         return StarTables(
             visatype=visatype,
             immigration_time=calendar.result(),
             country=country.result(),
             demographics=cities.result(),
             immigration_fact=fact,
+            losses=losses.result(),
         )
 
 
 def check_star(tables: StarTables) -> DataFrame:
     """All checks of the star as ``(check_name, table_name, columns, measured, status)``.
 
-    ``measured`` is the number of rows, of keys that occur more than once, or
-    of nulls.
+    ``measured`` is the number of rows, of keys that occur more than once, of
+    nulls, of fact rows whose key a dimension lacks, or of rows that a table
+    has more or fewer than it should: the fact and the demographics as many as
+    cleaning left (if the losses are known), the country and the calendar as
+    many as the fact has codes and dates.
     """
     frames = tables.named()
     filled = check_not_empty(frames).select(
@@ -134,7 +166,9 @@ def check_star(tables: StarTables) -> DataFrame:
         F.col("row_count").alias("measured"),
         "status",
     )
-    unique = check_unique({n: (frames[n], keys) for n, keys in UNIQUE.items()}).select(
+    # One aggregate per key; the tables' names may repeat.
+    unique = [check_unique({n: (frames[n], keys)}) for n, keys in UNIQUE]
+    unique = functools.reduce(DataFrame.unionByName, unique).select(
         F.lit("unique").alias("check_name"),
         "table_name",
         F.col("key_columns").alias("columns"),
@@ -148,13 +182,51 @@ def check_star(tables: StarTables) -> DataFrame:
         F.col("null_values").alias("measured"),
         "status",
     )
-    return filled.unionByName(unique).unionByName(nulls)
+    fact = tables.immigration_fact
+    links = check_references({("immigration_fact", k): (fact, frames[d], c) for k, (d, c) in LINKS.items()}).select(
+        F.lit("references").alias("check_name"),
+        "table_name",
+        F.col("column_name").alias("columns"),
+        F.col("orphans").alias("measured"),
+        "status",
+    )
+    parts = [filled, unique, nulls, links, _completeness(tables)]
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
+def _completeness(tables: StarTables) -> DataFrame:
+    count = F.count(F.lit(1)).alias("n")
+    fact, frames = tables.immigration_fact, tables.named()
+    expected = {
+        "country": fact.select("country_residence_code").distinct().agg(count),
+        "immigration_time": fact.select("arrdate").distinct().agg(count),
+    }
+    if tables.losses is not None:
+        after = F.coalesce(F.sum("after"), F.lit(0)).alias("n")
+        for name, source in (("immigration_fact", "arrivals"), ("demographics", "demographics")):
+            expected[name] = tables.losses.where(F.col("source") == source).agg(after)
+    results = []
+    for name, wanted in expected.items():
+        both = frames[name].agg(count).unionAll(wanted.select(-F.col("n")))
+        measured = F.abs(F.sum("n")).alias("measured")
+        status = F.when(F.sum("n") == 0, "PASS").otherwise("FAIL").alias("status")
+        results.append(
+            both.agg(measured, status).select(
+                F.lit("complete").alias("check_name"), F.lit(name).alias("table_name"), F.lit("").alias("columns"), "measured", "status"
+            )
+        )
+    return functools.reduce(DataFrame.unionByName, results)
 
 
 def loss_report(arrivals: DataFrame, demographics: DataFrame, temperature: DataFrame) -> DataFrame:
-    """Rows before, dropped and after cleaning, one row per source."""
+    """Rows before, dropped and after cleaning, one row per source.
+
+    ``nulled_keys`` and ``nulled_values`` count what became null in retyping:
+    record keys, and values of any column (keys included).
+    """
+    kept = drop_columns(arrivals, schemas.SPARSE_ARRIVALS)
     parts = {
-        "arrivals": cleaning_loss(arrivals, [], schemas.ARRIVALS_KEY),
+        "arrivals": cleaning_loss(retype_arrivals(kept), [], schemas.ARRIVALS_KEY),
         "demographics": cleaning_loss(
             demographics, schemas.REQUIRED_DEMOGRAPHICS, schemas.DEMOGRAPHICS_KEY
         ),
@@ -163,7 +235,23 @@ def loss_report(arrivals: DataFrame, demographics: DataFrame, temperature: DataF
         ),
     }
     named = [df.select(F.lit(n).alias("source"), "*") for n, df in parts.items()]
-    return named[0].unionByName(named[1]).unionByName(named[2])
+    nulled = retyping_loss(kept, schemas.ARRIVALS_KEY[0])
+    nulled = nulled.select(F.lit("arrivals").alias("__of"), "*")
+    report = functools.reduce(DataFrame.unionByName, named).join(nulled, F.col("source") == F.col("__of"), "left")
+    return report.drop("__of").fillna(0, ["nulled_keys", "nulled_values"])
+
+
+def retyping_loss(arrivals: DataFrame, key: str) -> DataFrame:
+    """``(nulled_keys, nulled_values)``: what retyping the arrivals turns into null."""
+    names = [f.name for f in arrivals.schema if f.dataType.typeName() == "double"]
+    after = retype_arrivals(arrivals.select("*", F.struct(*names).alias("__before")))
+    was = {c: F.col("__before").getField(c) for c in names}
+    lost = {c: (was[c].isNotNull() & ~F.isnan(was[c]) & column(c).isNull()).cast("long") for c in names}
+    total = functools.reduce(operator.add, lost.values(), F.lit(0))
+    return after.agg(
+        F.coalesce(F.sum(lost[key]) if key in lost else F.lit(0), F.lit(0)).alias("nulled_keys"),
+        F.coalesce(F.sum(total), F.lit(0)).alias("nulled_values"),
+    )
 
 
 def run_etl(
@@ -179,21 +267,28 @@ def run_etl(
     """Read the four sources from files and build the star below ``output``.
 
     CSV sources are read with the schemas of :mod:`portolan.schemas`, or with
-    inferred types when ``infer`` is set. Arrivals as CSV are a small sample
-    with an unnamed index column; they are always inferred.
+    inferred types when ``infer`` is set. Arrivals as CSV have an unnamed index
+    column first; they are stored as Parquet before they are read again and
+    again.
     """
 
     def csv(path: str, schema: str, sep: str = ",") -> DataFrame:
         return read_csv(spark, path, None if infer else schema, sep)
 
-    if arrivals_format == "csv":
-        arrivals = read_csv(spark, arrivals_path).drop("_c0")
-    else:
-        arrivals = load_table(spark, arrivals_path, arrivals_format)
-    return build_star(
-        arrivals,
-        csv(demographics_path, schemas.DEMOGRAPHICS, ";"),
-        csv(temperature_path, schemas.TEMPERATURE),
-        csv(mapping_path, schemas.MAPPING),
-        output,
-    )
+    staging = Staging(spark)
+    try:
+        if arrivals_format == "csv":
+            text = read_csv(spark, arrivals_path).drop("_c0") if infer else read_indexed_csv(spark, arrivals_path, schemas.ARRIVALS)
+            arrivals = staging.write(text, "arrivals-csv")
+        else:
+            arrivals = load_table(spark, arrivals_path, arrivals_format)
+        return build_star(
+            arrivals,
+            csv(demographics_path, schemas.DEMOGRAPHICS, ";"),
+            csv(temperature_path, schemas.TEMPERATURE),
+            csv(mapping_path, schemas.MAPPING),
+            output,
+            staging=staging,
+        )
+    finally:
+        staging.clear()

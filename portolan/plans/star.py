@@ -7,10 +7,15 @@ from pyspark.sql import functions as F
 
 from portolan import schemas
 from portolan.operators import lookup_join, rename_columns
+from portolan.sinks import Staging
 
 
 def build_fact(
-    arrivals: DataFrame, visatype: DataFrame, null_safe: bool = False, limit: int | None = None
+    arrivals: DataFrame,
+    visatype: DataFrame,
+    null_safe: bool = False,
+    limit: int | None = None,
+    staging: Staging | None = None,
 ) -> DataFrame:
     """Cleaned arrivals with the visa type replaced by its key.
 
@@ -18,7 +23,7 @@ def build_fact(
     are the stored ones. A null visa type gets no key unless ``null_safe``.
     """
     fact = rename_columns(arrivals, schemas.FACT_NAMES)
-    return lookup_join(fact, visatype, {"visatype": "visatype"}, null_safe, limit).drop("visatype")
+    return lookup_join(fact, visatype, {"visatype": "visatype"}, null_safe, limit, staging).drop("visatype")
 
 
 def star_summary(
@@ -26,6 +31,8 @@ def star_summary(
     country: DataFrame,
     calendar: DataFrame,
     visatype: DataFrame,
+    limit: int | None = None,
+    staging: Staging | None = None,
 ) -> DataFrame:
     """Arrivals and mean temperature per country, year of arrival and visa type.
 
@@ -37,9 +44,14 @@ def star_summary(
     counted = fact.groupBy("country_residence_code", "arrdate", "visa_type_key").agg(
         F.count(F.lit(1)).alias("n")
     )
-    joined = lookup_join(counted, country, {"country_residence_code": "country_code"})
-    joined = lookup_join(joined, calendar.select("arrdate", "arrival_year"), {"arrdate": "arrdate"})
-    joined = lookup_join(joined, visatype.select("visa_type_key", "visatype"), {"visa_type_key": "visa_type_key"})
+    staging = staging or Staging(fact.sparkSession)
+    joined = staging.write(counted, "counted")
+    for dim, on in (
+        (country, {"country_residence_code": "country_code"}),
+        (calendar.select("arrdate", "arrival_year"), {"arrdate": "arrdate"}),
+        (visatype.select("visa_type_key", "visatype"), {"visa_type_key": "visa_type_key"}),
+    ):
+        joined = lookup_join(joined, dim, on, limit=limit, staging=staging)
     warmth = F.col("average_temperature")
     return joined.groupBy("country_name", "arrival_year", "visa_type_key", "visatype").agg(
         F.sum("n").alias("arrivals"),

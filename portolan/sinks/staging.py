@@ -7,7 +7,10 @@ folder named by ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
+import atexit
 import functools
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -18,20 +21,24 @@ from portolan.sinks.writers import write_parquet
 
 @functools.cache
 def _local_root(application_id: str) -> str:
-    return tempfile.mkdtemp(prefix="portolan-stage-")
+    folder = tempfile.mkdtemp(prefix="portolan-stage-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
 
 
 def staging_root(spark: SparkSession) -> str:
     """Shared folder for staged tables.
 
-    Only a local session may fall back to a temporary folder; on a cluster a
-    machine-local folder would not be seen by the other machines.
+    The cluster's setting is taken as it is; a ``file:`` folder there has to be
+    mounted on all machines. Without it only a local session, where driver and
+    executors are one process, may fall back to a temporary folder, which is
+    deleted when the process ends.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/") + "/portolan"
     context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^]]*\])?", context.master):
         raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
     return _local_root(context.applicationId)
 

@@ -46,13 +46,14 @@ def write_parquet(
     if not partition_by:
         df.write.mode("overwrite").parquet(path)
         return
+    # Whatever the session says, folders of an earlier run go.
     by = [column(c) for c in partition_by]
     if small_folders:
         shuffle_partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         df = df.repartition(min(FOLDER_TASKS, shuffle_partitions), *by)
     else:
         df = df.hint("rebalance", *by)
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*partition_by).parquet(path)
 
 
 def write_csv(df: DataFrame, path: str, sep: str = ",") -> None:

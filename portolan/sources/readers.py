@@ -3,7 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
+
+from portolan.functions import column
+
+LINE = "__line"
 
 
 def load_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
@@ -17,20 +22,77 @@ def read_csv(
     schema: StructType | str | None = None,
     sep: str = ",",
     escape: str = '"',
+    multiline: bool = False,
 ) -> DataFrame:
     """Read CSV with a header line.
 
+    A value or line that does not fit the types fails the query; see
+    :func:`read_csv_with_rejects` for setting such lines aside. ``multiline``
+    allows line breaks within quoted values; a file is then read by one task.
+
     With a ``schema`` the file is read once and its header is checked against
     the schema; without one the types are inferred, which costs a further pass
     over the file. Values may be quoted and hold the separator; an empty value
     is null.
     """
-    reader = spark.read.option("header", True).option("sep", sep).option("escape", escape)
+    reader = _csv_reader(spark, sep, escape, multiline).option("mode", "FAILFAST")
     if schema is None:
         return reader.option("inferSchema", True).csv(path)
     return reader.schema(schema).option("enforceSchema", False).csv(path)
 
 
+def _csv_reader(spark: SparkSession, sep: str, escape: str, multiline: bool):
+    return (
+        spark.read.option("header", True)
+        .option("sep", sep)
+        .option("escape", escape)
+        .option("multiLine", multiline)
+    )
+
+
+def read_csv_with_rejects(
+    spark: SparkSession,
+    path: str,
+    schema: StructType | str,
+    sep: str = ",",
+    escape: str = '"',
+    multiline: bool = False,
+) -> tuple[DataFrame, DataFrame]:
+    """Rows that fit the schema, and ``(line, bad_columns)`` of the lines that do not.
+
+    ``bad_columns`` names the columns whose value could not be read, which are
+    null in spite of a text in the line; it is empty for a line with too many
+    or too few values. Both frames read the file.
+    """
+    if isinstance(schema, str):
+        schema = StructType.fromDDL(schema)
+    reader = _csv_reader(spark, sep, escape, multiline).option("enforceSchema", False)
+    whole = StructType([*schema.fields, StructField(LINE, StringType())])
+    rows = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", LINE).schema(whole).csv(path)
+    good = rows.where(F.col(LINE).isNull()).drop(LINE)
+    texts = F.from_csv(
+        F.col(LINE), F.lit(", ".join(f"c{i} string" for i in range(len(schema)))), {"sep": sep, "escape": escape, "multiLine": "true"}
+    ).alias("__texts")
+    bad = rows.where(F.col(LINE).isNotNull()).select("*", texts)
+    lost = [
+        F.when(column(f.name).isNull() & F.col(f"__texts.c{i}").isNotNull(), F.lit(f.name)) for i, f in enumerate(schema)
+    ]
+    return good, bad.select(F.col(LINE).alias("line"), F.array_compact(F.array(*lost)).alias("bad_columns"))
+
+
+def read_indexed_csv(spark: SparkSession, path: str, schema: str, index: str = "_c0") -> DataFrame:
+    """CSV whose first column is an index without a name; the index is left out.
+
+    The header is compared with the schema, but for the index.
+    """
+    names = StructType.fromDDL(schema).names
+    found = spark.read.option("header", True).csv(path).columns
+    if found != [index, *names]:
+        raise ValueError(f"{path}: the header is {found}, not an index and {names}")
+    reader = _csv_reader(spark, ",", '"', False).option("mode", "FAILFAST")
+    return reader.schema(f"{index} string, {schema}").csv(path).drop(index)
+
+
 def file_inventory(spark: SparkSession, glob: str) -> DataFrame:
     """Name and size in bytes of every file behind ``glob``.
 

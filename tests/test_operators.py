@@ -282,3 +282,29 @@ def test_checks(spark):
 
 def test_unique_check_of_an_empty_table_passes(spark):
     assert ops.check_unique({"e": (spark.range(0), ["id"])}).first() == ("e", "id", 0, 0, "PASS")
+
+
+@pytest.mark.parametrize("limit", [None, 0])
+def test_lookup_is_the_same_at_every_size(spark, limit):
+    fact = spark.sql("SELECT id, CAST(if(id % 3 > 0, 7, id) AS INT) AS k, map('a', id) AS m FROM range(300)").unionByName(
+        spark.sql("SELECT -1L AS id, CAST(NULL AS INT) AS k, map('a', 1L) AS m")
+    )
+    dim = spark.createDataFrame([(7, "seven"), (0, "zero"), (None, "none"), (None, "none again")], "key int, name string")
+    out = ops.lookup_join(fact, dim, {"k": "key"}, limit=limit)
+    names = {r.id: r.name for r in out.collect()}
+    assert out.count() == 301 and names[1] == "seven" and names[0] == "zero" and names[3] is None and names[-1] is None
+    with pytest.raises(ValueError, match="more than once"):
+        ops.lookup_join(fact, dim, {"k": "key"}, null_safe=True, limit=limit)
+    with pytest.raises(ValueError, match="more than once"):
+        ops.lookup_join(fact, dim.union(dim), {"k": "key"}, limit=limit)
+    with pytest.raises(ValueError, match="both have"):
+        ops.lookup_join(fact, dim.withColumnRenamed("name", "M"), {"k": "key"}, limit=limit)
+    only_map = fact.select("m", "k")
+    assert ops.lookup_join(only_map, dim, {"k": "key"}, limit=limit).count() == 301
+
+
+def test_references(spark):
+    fact = spark.createDataFrame([(1,), (1,), (2,), (None,)], "k int")
+    dim = spark.createDataFrame([(2,), (None,)], "d int")
+    out = ops.check_references({("f", "k"): (fact, dim, "d")})
+    assert [tuple(r) for r in out.collect()] == [("f", "k", 2, "FAIL")]

@@ -9,14 +9,14 @@ from portolan.sinks.writers import with_comments
 def test_mapping_csv_with_quotes(spark, tmp_path):
     path = tmp_path / "mapping.csv"
     path.write_text(
-        'code,Name\n582,"MEXICO Air Sea, and Not Reported (I-94, no land arrivals)"\n0,STATELESS\n'
-        '245,"CHINA, PRC"\n1,"say ""hi"""\n'
+        'code,Name\n71,"TALVERA Rail Boat, and Not Stated (X-1, no foot crossings)"\n0,UNPLACED\n'
+        '33,"ORVANE, OLD"\n1,"say ""hi"""\n'
     )
     want = [
-        (0, "STATELESS"),
+        (0, "UNPLACED"),
         (1, 'say "hi"'),
-        (245, "CHINA, PRC"),
-        (582, "MEXICO Air Sea, and Not Reported (I-94, no land arrivals)"),
+        (33, "ORVANE, OLD"),
+        (71, "TALVERA Rail Boat, and Not Stated (X-1, no foot crossings)"),
     ]
     for schema in (schemas.MAPPING, None):
         df = sources.read_csv(spark, str(path), schema)
@@ -46,7 +46,7 @@ def test_semicolon_csv(spark, tmp_path):
 
 def test_csv_sample_with_index_column(spark, tmp_path):
     path = tmp_path / "sample.csv"
-    path.write_text(",cicid,visatype\n0,4084316.0,WT\n")
+    path.write_text(",cicid,visatype\n0,77.0,K1\n")
     df = sources.read_csv(spark, str(path))
     assert df.drop("_c0").dtypes == [("cicid", "double"), ("visatype", "string")]
 
@@ -69,18 +69,18 @@ LABELS = """libname library 'Your file location' ;
 proc format library=library ;
 
 /* residence codes */
-  value i94cntyl
-   582 =  'MEXICO Air Sea, and Not Reported (I-94, no land arrivals)'
-   236 =  'AFGHANISTAN'
+  value lands
+   71 =  'TALVERA Rail Boat, and Not Stated (X-1, no foot crossings)'
+   12 =  'FENWOLD'
 
-   101 =  'ALBANIA'
-   236 =  'SECOND NAME'
+   5 =  'ORVANE'
+   12 =  'SECOND NAME'
    7 = 'CUT=OFF'
    9 = 'SEMI; COLON'
    8='TIGHT' ;
-  value $i94prtl
-   'ALC' = 'ALCAN, AK'
-   101 = 'OTHER SECTION'
+  value $ports
+   'BRM' = 'BRIMLEY, XQ'
+   5 = 'OTHER SECTION'
 ;
 """
 
@@ -93,27 +93,27 @@ def test_label_lines(spark, tmp_path):
     path = tmp_path / "labels.sas"
     path.write_text(LABELS)
     country = {
-        "582": "MEXICO Air Sea, and Not Reported (I-94, no land arrivals)",
-        "236": "SECOND NAME",
-        "101": "ALBANIA",
+        "71": "TALVERA Rail Boat, and Not Stated (X-1, no foot crossings)",
+        "12": "SECOND NAME",
+        "5": "ORVANE",
         "7": "CUT",
         "8": "TIGHT",
         "9": "SEMI; COLON",
     }
-    assert catalog(sources.read_label_catalog(spark, str(path), section="i94cntyl")) == country
-    everything = country | {"101": "OTHER SECTION", "'ALC'": "ALCAN, AK"}
+    assert catalog(sources.read_label_catalog(spark, str(path), section="lands")) == country
+    everything = country | {"5": "OTHER SECTION", "'BRM'": "BRIMLEY, XQ"}
     assert catalog(sources.read_label_catalog(spark, str(path))) == everything
-    ports = {"'ALC'": "ALCAN, AK", "101": "OTHER SECTION"}
-    assert catalog(sources.read_label_catalog(spark, str(path), section="i94prtl")) == ports
+    ports = {"'BRM'": "BRIMLEY, XQ", "5": "OTHER SECTION"}
+    assert catalog(sources.read_label_catalog(spark, str(path), section="ports")) == ports
     assert catalog(sources.read_label_catalog(spark, str(path), section="absent")) == {}
     # the section is found when the file is cut into many splits, and runs to
     # the end of the file if nothing closes it
     spark.conf.set("spark.sql.files.maxPartitionBytes", "64")
     spark.conf.set("spark.sql.files.openCostInBytes", "0")
     try:
-        assert catalog(sources.read_label_catalog(spark, str(path), section="i94cntyl")) == country
+        assert catalog(sources.read_label_catalog(spark, str(path), section="lands")) == country
         path.write_text(LABELS.replace("\n;\n", "\n"))
-        assert catalog(sources.read_label_catalog(spark, str(path), section="i94prtl")) == ports
+        assert catalog(sources.read_label_catalog(spark, str(path), section="ports")) == ports
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
         spark.conf.unset("spark.sql.files.openCostInBytes")
@@ -194,7 +194,40 @@ def test_staging_refuses_a_machine_local_folder_on_a_cluster():
     class Session:
         conf, sparkContext = Conf(), Context()
 
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        staging_module.staging_root(Session())
+    Context.master = "local-cluster[2,1,1024]"
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         staging_module.staging_root(Session())
     Context.master = "local[2]"
     assert staging_module.staging_root(Session()) == staging_module.staging_root(Session())
+
+
+def test_unfit_csv_values_fail_or_are_set_aside(spark, tmp_path):
+    path = tmp_path / "cities.csv"
+    path.write_text("code;men\n1;12.0\n2;1,234\n3;12\n4;\nx;\"y\"\n")
+    schema = "code int, men int"
+    with pytest.raises(Exception, match="(?i)malformed"):
+        sources.read_csv(spark, str(path), schema, ";").collect()
+    good, bad = sources.read_csv_with_rejects(spark, str(path), schema, ";")
+    assert sorted(map(tuple, good.collect())) == [(3, 12), (4, None)]
+    assert sorted((r.line, r.bad_columns) for r in bad.collect()) == [
+        ("1;12.0", ["men"]), ("2;1,234", ["men"]), ('x;"y"', ["code", "men"]),
+    ]
+
+
+def test_line_breaks_within_values(spark, tmp_path):
+    df = spark.createDataFrame([(1, 'a\nb "c", d;'), (2, "e\n")], "id int, s string")
+    path = str(tmp_path / "csv")
+    sinks.write_csv(df, path)
+    assert sorted(map(tuple, sources.read_csv(spark, path, df.schema, multiline=True).collect())) == [
+        (1, 'a\nb "c", d;'), (2, "e\n"),
+    ]
+
+
+def test_indexed_csv_has_its_header_checked(spark, tmp_path):
+    path = tmp_path / "sample.csv"
+    path.write_text(",k,v\n0,1.5,x\n")
+    assert [tuple(r) for r in sources.read_indexed_csv(spark, str(path), "k double, v string").collect()] == [(1.5, "x")]
+    with pytest.raises(ValueError, match="header"):
+        sources.read_indexed_csv(spark, str(path), "v string, k double")

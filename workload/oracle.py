@@ -29,13 +29,16 @@ def _last(names: list[str]) -> str:
 
 
 ARRIVALS = """arrivals AS (
-  SELECT CAST(l_orderkey * 8 + l_linenumber AS DOUBLE) AS cicid,
+  SELECT CASE l_partkey % 97 WHEN 5 THEN CAST(l_orderkey * 8 + l_linenumber + 0.25 AS DOUBLE)
+      WHEN 6 THEN CAST('NaN' AS DOUBLE) WHEN 7 THEN CAST('1e300' AS DOUBLE) * l_linenumber
+      ELSE CAST(l_orderkey * 8 + l_linenumber AS DOUBLE) END AS cicid,
     CAST(year(l_shipdate) AS DOUBLE) AS i94yr,
     CAST(month(l_shipdate) AS DOUBLE) AS i94mon,
     CAST(l_linenumber AS DOUBLE) AS i94cit,
     l_quantity AS i94res,
     'P' || l_suppkey AS i94port,
-    CAST(date_diff('day', DATE '1960-01-01', CAST(l_shipdate AS DATE)) AS DOUBLE) AS arrdate,
+    CASE l_partkey % 97 WHEN 8 THEN CAST(99999999 AS DOUBLE) WHEN 9 THEN CAST(-2147483648 AS DOUBLE)
+      ELSE CAST(date_diff('day', DATE '1960-01-01', CAST(l_shipdate AS DATE)) AS DOUBLE) END AS arrdate,
     CAST(l_linenumber AS DOUBLE) AS i94mode,
     l_linestatus AS i94addr,
     nullif(CAST(date_diff('day', DATE '1960-01-01', CAST(l_shipdate AS DATE)) AS DOUBLE) + l_linenumber, 13000.0) AS depdate,
@@ -93,19 +96,20 @@ _kept = [c for c in ARRIVALS_COLUMNS if c not in SPARSE]
 
 def _retyped(name: str, wide: set[str]) -> str:
     if name in _dates:
-        return f"DATE '1960-01-01' + CAST(trunc({name}) AS INT) AS {name}"
+        day = f"TRY_CAST(trunc({name}) AS INT)"
+        return f"CASE WHEN {day} BETWEEN -715509 AND 2936549 THEN DATE '1960-01-01' + {day} END AS {name}"
     if name in DOUBLES:
         return f'TRY_CAST(trunc("{name}") AS {"BIGINT" if name in wide else "INT"}) AS "{name}"'
     return f'"{name}"'
 
 
-DEDUPED = f"""deduped AS (
+RETYPED = f"""retyped AS (
+  SELECT {", ".join(_retyped(c, {"cicid", "admnum"}) for c in _kept)} FROM arrivals)"""
+
+CLEANED = f"""{ARRIVALS}, {RETYPED}, cleaned AS (
   SELECT {_q(_kept)} FROM (
     SELECT {_q(_kept)}, row_number() OVER (PARTITION BY cicid ORDER BY {_first(_kept[1:])}) AS rn
-    FROM arrivals) WHERE rn = 1)"""
-
-CLEANED = f"""{ARRIVALS}, {DEDUPED}, cleaned AS (
-  SELECT {", ".join(_retyped(c, {"cicid", "admnum"}) for c in _kept)} FROM deduped)"""
+    FROM retyped) WHERE rn = 1)"""
 
 READINGS = f"""{TEMPERATURE}, readings AS (
   SELECT CAST(dt AS VARCHAR) AS dt, "AverageTemperature", "AverageTemperatureUncertainty", "City",
@@ -183,6 +187,9 @@ fact AS (
 
 _unique = [
     ("immigration_time", "id", "calendar"),
+    ("immigration_time", "arrdate", "calendar"),
+    ("visatype", "visatype", "visatypes"),
+    ("immigration_fact", "record_id", "fact"),
     ("visatype", "visa_type_key", "visatypes"),
     ("country", "country_code", "country"),
 ]
@@ -226,6 +233,31 @@ STAR_CHECKS = (
             f"CASE WHEN count(*) FILTER ({expr} IS NULL) = 0 THEN 'PASS' ELSE 'FAIL' END FROM {rel}"
             for t, k, rel, expr in _filled
         ]
+        + [
+            "SELECT 'unique', 'demographics', 'City,State,state_code,Race', count(*), "
+            "CASE WHEN count(*) = 0 THEN 'PASS' ELSE 'FAIL' END "
+            'FROM (SELECT 1 FROM cities GROUP BY "City", "State", "State Code", "Race" HAVING count(*) > 1)'
+        ]
+        + [
+            f"SELECT 'references', 'immigration_fact', '{k}', count(*), "
+            f"CASE WHEN count(*) = 0 THEN 'PASS' ELSE 'FAIL' END FROM fact "
+            f"WHERE {k} IS NOT NULL AND {k} NOT IN (SELECT {c} FROM {rel} WHERE {c} IS NOT NULL)"
+            for k, rel, c in [
+                ("country_residence_code", "country", "country_code"),
+                ("arrdate", "calendar", "arrdate"),
+                ("visa_type_key", "visatypes", "visa_type_key"),
+            ]
+        ]
+        + [
+            f"SELECT 'complete', '{t}', '', abs(n), CASE WHEN n = 0 THEN 'PASS' ELSE 'FAIL' END FROM "
+            f"(SELECT (SELECT count(*) FROM {rel}) - (SELECT count(*) FROM ({wanted})) AS n)"
+            for t, rel, wanted in [
+                ("immigration_fact", "fact", "SELECT DISTINCT cicid FROM retyped"),
+                ("demographics", "cities", 'SELECT DISTINCT "City", "State", "State Code", "Race" FROM cities'),
+                ("country", "country", "SELECT DISTINCT country_residence_code FROM fact"),
+                ("immigration_time", "calendar", "SELECT DISTINCT arrdate FROM fact"),
+            ]
+        ]
     )
 )
 
@@ -238,6 +270,32 @@ def _loss(source: str, relation: str, missing: str, keys: str) -> str:
 FROM (SELECT count(*) AS n, count(*) FILTER ({missing}) AS m FROM {relation} GROUP BY {keys})"""
 
 
+_lost = [
+    """CAST("{0}" IS NOT NULL AND NOT isnan("{0}") AND {1} IS NULL AS BIGINT)""".format(
+        c, _retyped(c, {"cicid", "admnum"}).rsplit(" AS ", 1)[0]
+    )
+    for c in DOUBLES
+]
+LOSSES = (
+    f"WITH {ARRIVALS}, {RETYPED}, {DEMOGRAPHICS}, {TEMPERATURE}, losses AS ("
+    + _loss("arrivals", "retyped", "false", "cicid")
+    + " UNION ALL "
+    + _loss(
+        "demographics",
+        "demographics",
+        '"Male Population" IS NULL OR "Female Population" IS NULL OR "Number of Veterans" IS NULL '
+        'OR "Foreign-born" IS NULL OR "Average Household Size" IS NULL OR isnan("Average Household Size")',
+        '"City", "State", "State Code", "Race"',
+    )
+    + " UNION ALL "
+    + _loss("temperature", "temperature", '"AverageTemperature" IS NULL', 'dt, "City", "Country"')
+    + f""") SELECT l.*,
+  CASE source WHEN 'arrivals' THEN (SELECT CAST(sum({_lost[0]}) AS BIGINT) FROM arrivals) ELSE 0 END AS nulled_keys,
+  CASE source WHEN 'arrivals' THEN (SELECT CAST(sum({" + ".join(_lost)}) AS BIGINT) FROM arrivals) ELSE 0 END AS nulled_values
+FROM losses l"""
+)
+
+
 _row_tables = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
     "embeddings", "pages", "benchmark", "labels", "conversations",
@@ -281,6 +339,14 @@ def _null_check(name: str, relation: str, column: str) -> str:
     )
 
 
+SUMMARY = f"""{STAR}
+SELECT c.country_name, d.arrival_year, v.visa_type_key, v.visatype, count(*) AS arrivals,
+  round(avg(c.average_temperature), 8) AS average_temperature
+FROM fact f LEFT JOIN country c ON c.country_code = f.country_residence_code
+LEFT JOIN calendar d ON d.arrdate = f.arrdate
+LEFT JOIN visatypes v ON v.visa_type_key = f.visa_type_key
+GROUP BY ALL"""
+
 ORACLE: dict[str, str] = {
     "scan_parquet": "SELECT * FROM nation",
     "parquet_roundtrip": "SELECT * FROM orders",
@@ -293,6 +359,12 @@ WHERE year(o_orderdate) >= 1998""",
     "label_catalog": """SELECT CAST(p_size AS VARCHAR) AS code, arg_max(p_name, p_partkey) AS name
 FROM part GROUP BY p_size""",
     "label_catalog_nations": "SELECT CAST(n_nationkey AS VARCHAR) AS code, n_name AS name FROM nation",
+    "label_catalog_section": "SELECT CAST(r_regionkey AS VARCHAR) AS code, r_name AS name FROM region",
+    "csv_roundtrip_multiline": """SELECT p_partkey AS code,
+  p_name || chr(10) || p_brand || ', "' || p_size || '"' || chr(10) AS "Name" FROM part""",
+    "csv_rejects": """SELECT 'p_size' AS column_name, count(*) AS n FROM part WHERE p_size < 5
+UNION ALL SELECT 'price', count(*) FROM part WHERE p_size = 4
+UNION ALL SELECT '(fits)', count(*) FROM part WHERE p_size >= 5""",
     "select_columns": "SELECT c_custkey, c_mktsegment FROM customer",
     "drop_columns": "SELECT * EXCLUDE (o_orderpriority) FROM orders",
     "drop_sparse_columns": f"WITH {ARRIVALS} SELECT {_q(_kept)} FROM arrivals",
@@ -313,18 +385,8 @@ FROM (SELECT {_missing('l_discount')} OR {_missing('l_tax')} AS lost FROM holey)
     "dedup_loss": """SELECT (SELECT count(*) FROM lineitem) AS before, count(*) AS after,
   (SELECT count(*) FROM lineitem) - count(*) AS dropped
 FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem)""",
-    "cleaning_loss": f"WITH {ARRIVALS}, {DEMOGRAPHICS}, {TEMPERATURE} "
-    + _loss("arrivals", "arrivals", "false", "cicid")
-    + " UNION ALL "
-    + _loss(
-        "demographics",
-        "demographics",
-        '"Male Population" IS NULL OR "Female Population" IS NULL OR "Number of Veterans" IS NULL '
-        'OR "Foreign-born" IS NULL OR "Average Household Size" IS NULL OR isnan("Average Household Size")',
-        '"City", "State", "State Code", "Race"',
-    )
-    + " UNION ALL "
-    + _loss("temperature", "temperature", '"AverageTemperature" IS NULL', 'dt, "City", "Country"'),
+    "cleaning_loss": LOSSES,
+    "star_losses": LOSSES,
     "null_profile": f"WITH {HOLEY} SELECT "
     + ", ".join(f"count(*) FILTER ({_missing(c)}) AS {c}" for c in _holey_columns)
     + " FROM holey",
@@ -343,7 +405,7 @@ SELECT "Country", avg("AverageTemperature") AS average_temperature FROM temperat
     "dedup_single_key": """SELECT * EXCLUDE (rn) FROM (
   SELECT *, row_number() OVER (PARTITION BY text ORDER BY doc_id) AS rn FROM documents) WHERE rn = 1""",
     "dedup_composite_key": _lines_by(["l_orderkey", "l_linenumber"]),
-    "dedup_rare_keys": _lines_by(["l_orderkey", "l_partkey", "l_suppkey"]),
+    "dedup_rare_keys": _lines_by(["l_partkey", "l_shipdate"]),
     "double_to_int": """SELECT c_custkey, TRY_CAST(trunc(c_acctbal) AS INT) AS balance,
   TRY_CAST(trunc(-c_acctbal) AS INT) AS negated,
   TRY_CAST(trunc(c_acctbal * 1e6) AS INT) AS overflowing,
@@ -411,11 +473,14 @@ FROM (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS d FROM orders)""",
     ),
     "star_checks": STAR_CHECKS,
     "star_fact": f"{STAR} SELECT * FROM fact",
-    "star_summary": f"""{STAR}
-SELECT c.country_name, d.arrival_year, v.visa_type_key, v.visatype, count(*) AS arrivals,
-  round(avg(c.average_temperature), 8) AS average_temperature
-FROM fact f LEFT JOIN country c ON c.country_code = f.country_residence_code
-LEFT JOIN calendar d ON d.arrdate = f.arrdate
-LEFT JOIN visatypes v ON v.visa_type_key = f.visa_type_key
-GROUP BY ALL""",
+    "star_summary": SUMMARY,
+    "star_summary_shuffled": SUMMARY,
+    "star_integrity": " UNION ALL ".join(
+        f"SELECT 'lineitem' AS table_name, '{k}' AS column_name, count(*) AS orphans, {_status('count(*) = 0')} "
+        f"FROM lineitem WHERE {k} NOT IN ({known})"
+        for k, known in [
+            ("l_partkey", "SELECT p_partkey FROM part WHERE p_size > 3"),
+            ("l_orderkey", "SELECT o_orderkey FROM orders"),
+        ]
+    ),
 }

@@ -94,8 +94,49 @@ def label_catalog_nations(spark, sf_dir):
     return sources.read_label_catalog(spark, path)
 
 
-def file_inventory(spark, sf_dir):
-    return sources.file_inventory(spark, f"{sf_dir}/*.parquet")
+def label_catalog_section(spark, sf_dir):
+    """Nations and regions as two sections of one file, with codes in common."""
+    label = "concat('   ', {}, ' =  ''', {}, '''')"
+    lines = [
+        "SELECT 0 AS part, CAST(-1 AS BIGINT) AS at, '  value nations' AS line",
+        f"SELECT 0, n_nationkey, {label.format('n_nationkey', 'n_name')} FROM {{nations}}",
+        "SELECT 0, 1000000, ';'",
+        "SELECT 1, -1, '  value $regions'",
+        f"SELECT 1, r_regionkey, {label.format('r_regionkey', 'r_name')} FROM {{regions}}",
+        "SELECT 1, 1000000, ';'",
+    ]
+    whole = spark.sql(
+        " UNION ALL ".join(lines), nations=table(spark, sf_dir, "nation"), regions=table(spark, sf_dir, "region")
+    )
+    staging = sinks.Staging(spark)
+    path = staging.path("labels")
+    sinks.write_text(whole.repartitionByRange(1, "part", "at").sortWithinPartitions("part", "at"), path, "line")
+    return sources.read_label_catalog(spark, path, section="regions", staging=staging)
+
+
+def csv_roundtrip_multiline(spark, sf_dir):
+    path = sinks.Staging(spark).path("csv")
+    parts = table(spark, sf_dir, "part")
+    name = F.concat("p_name", F.lit("\n"), "p_brand", F.lit(', "'), F.col("p_size").cast("string"), F.lit('"\n'))
+    named = parts.select(F.col("p_partkey").alias("code"), name.alias("Name"))
+    sinks.write_csv(named, path)
+    return sources.read_csv(spark, path, named.schema, multiline=True)
+
+
+def csv_rejects(spark, sf_dir):
+    """Sizes of some parts are no numbers; their lines are set aside and counted by column."""
+    path = sinks.Staging(spark).path("csv")
+    parts = table(spark, sf_dir, "part").selectExpr(
+        "p_partkey",
+        "p_name",
+        "CASE WHEN p_size < 5 THEN concat(p_size, ' or so') ELSE CAST(p_size AS STRING) END AS p_size",
+        "CASE WHEN p_size = 4 THEN 'dear' ELSE CAST(p_retailprice AS STRING) END AS price",
+    )
+    sinks.write_csv(parts, path)
+    good, bad = sources.read_csv_with_rejects(spark, path, "p_partkey long, p_name string, p_size int, price double")
+    count = F.count(F.lit(1)).alias("n")
+    lost = bad.select(F.explode("bad_columns").alias("column_name")).groupBy("column_name").agg(count)
+    return lost.unionByName(good.agg(count).select(F.lit("(fits)").alias("column_name"), "n"))
 
 
 # ---------------------------------------------------------------- projections
@@ -200,7 +241,8 @@ def dedup_composite_key(spark, sf_dir):
 
 
 def dedup_rare_keys(spark, sf_dir):
-    return ops.dedup_rare(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_partkey", "l_suppkey"])
+    """About one row in a hundred repeats its key."""
+    return ops.dedup_rare(table(spark, sf_dir, "lineitem"), ["l_partkey", "l_shipdate"])
 
 
 # ---------------------------------------------------------------- scalar functions
@@ -405,6 +447,31 @@ def star_checks(spark, sf_dir):
     return plans.check_star(_star(spark, sf_dir))
 
 
+def star_losses(spark, sf_dir):
+    """The whole job, then what its cleaning lost."""
+    return _star(spark, sf_dir).losses
+
+
+def star_integrity(spark, sf_dir):
+    """References of line items to parts and orders of which some are taken away."""
+    lines = table(spark, sf_dir, "lineitem")
+    parts = table(spark, sf_dir, "part").where("p_size > 3")
+    orders = table(spark, sf_dir, "orders")
+    return ops.check_references(
+        {
+            ("lineitem", "l_partkey"): (lines, parts, "p_partkey"),
+            ("lineitem", "l_orderkey"): (lines, orders, "o_orderkey"),
+        }
+    )
+
+
+def star_summary_shuffled(spark, sf_dir):
+    """The summary with every dimension joined by shuffle."""
+    star = _star(spark, sf_dir)
+    summary = plans.star_summary(star.immigration_fact, star.country, star.immigration_time, star.visatype, limit=0)
+    return summary.withColumn("average_temperature", F.round("average_temperature", 8))
+
+
 def star_fact(spark, sf_dir):
     """The whole job, then its fact table."""
     return _star(spark, sf_dir).immigration_fact
@@ -421,7 +488,8 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in [
         scan_parquet, parquet_roundtrip, csv_roundtrip, csv_semicolon_roundtrip, csv_inferred,
-        partitioned_roundtrip, partitioned_rebalanced, label_catalog, label_catalog_nations, file_inventory,
+        partitioned_roundtrip, partitioned_rebalanced, label_catalog, label_catalog_nations, label_catalog_section,
+        csv_roundtrip_multiline, csv_rejects,
         select_columns, drop_columns, drop_sparse_columns, rename_columns, all_doubles_to_int,
         dropna_single, dropna_any, dropna_loss, dedup_loss, cleaning_loss, null_profile, null_percent,
         row_count, distinct_values, avg_by_group, preview,
@@ -431,6 +499,6 @@ QUERIES: dict[str, Query] = {
         fact_dim_key, fact_dim_key_nullsafe, fact_dim_key_shuffled,
         clean_arrivals, clean_arrivals_text_dates, clean_temperature, clean_demographics,
         quality_row_count, quality_duplicate_key, quality_null_key,
-        star_checks, star_fact, star_summary,
+        star_checks, star_fact, star_summary, star_losses, star_integrity, star_summary_shuffled,
     ]
 }

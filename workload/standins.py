@@ -16,18 +16,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """28 columns per line item.
 
-    Records repeat, ``occup``, ``entdepu`` and ``insnum`` are nearly empty, some
+    Records repeat, some record numbers are fractional, NaN or too large, some
+    dates lie beyond the calendar, ``occup``, ``entdepu`` and ``insnum`` are nearly empty, some
     departure dates and visa types are null, ``admnum`` exceeds 32 bits and
     residence codes from 25 on have no name.
     """
     return table(spark, sf_dir, "lineitem").selectExpr(
-        "CAST(l_orderkey * 8 + l_linenumber AS DOUBLE) AS cicid",
+        "CASE l_partkey % 97 WHEN 5 THEN l_orderkey * 8 + l_linenumber + 0.25D WHEN 6 THEN CAST('NaN' AS DOUBLE) "
+        "WHEN 7 THEN 1e300D * l_linenumber ELSE CAST(l_orderkey * 8 + l_linenumber AS DOUBLE) END AS cicid",
         "CAST(year(l_shipdate) AS DOUBLE) AS i94yr",
         "CAST(month(l_shipdate) AS DOUBLE) AS i94mon",
         "CAST(l_linenumber AS DOUBLE) AS i94cit",
         "l_quantity AS i94res",
         "concat('P', l_suppkey) AS i94port",
-        "CAST(datediff(l_shipdate, DATE'1960-01-01') AS DOUBLE) AS arrdate",
+        "CASE l_partkey % 97 WHEN 8 THEN 99999999D WHEN 9 THEN -2147483648D "
+        "ELSE CAST(datediff(l_shipdate, DATE'1960-01-01') AS DOUBLE) END AS arrdate",
         "CAST(l_linenumber AS DOUBLE) AS i94mode",
         "l_linestatus AS i94addr",
         "nullif(CAST(datediff(l_shipdate, DATE'1960-01-01') AS DOUBLE) + l_linenumber, 13000.0) AS depdate",
