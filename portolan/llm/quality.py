@@ -30,7 +30,7 @@ SLOTS = (1 << SLOT_BITS) + 1
 WINDOWS = (6, 64)
 # Smoothing counts to choose from: the better one on labelled rows, for each window.
 PRIORS = (1.0, 5.0, 20.0, 80.0)
-TEMPERATURE = 0.5
+TEMPERATURE = 0.25
 # Labelled rows that may be used: a share of all labels, fixed by hash, of about this many.
 MAX_LABELS = 200_000
 _SEGMENTS = 32

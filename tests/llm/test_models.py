@@ -1,0 +1,175 @@
+"""Quality selection, languages and fingerprints."""
+
+import hashlib
+import random
+
+import numpy as np
+import pyarrow as pa
+import pytest
+import xxhash
+
+from portolan.llm import fingerprint as fp
+from portolan.llm import language, quality, words
+from tests.llm.conftest import CLASHES, frame, prose
+
+
+@pytest.fixture(scope="module")
+def labelled(spark):
+    rng, rows, labels = random.Random(2), [], []
+    for i in range(600):
+        text = prose(rng, rng.randint(30, 200))
+        kind = i % 6
+        if kind == 0:
+            text = " ".join(w + "%%%" for w in text.split())
+        if kind == 1:
+            w = text.split()
+            w[len(w) // 2] = "vilename"
+            text = " ".join(w)
+        rows.append((i, text))
+        if i % 2 or i % 5 == 0:
+            labels.append((i, 0 if kind == 0 else 1, 1 if kind == 1 else 0))
+    return rows, spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+
+
+def test_rejects_low_and_toxic_texts_and_keeps_the_others(spark, labelled, staging):
+    rows, labels = labelled
+    out = {r.doc_id: r for r in quality.select(frame(spark, rows), labels, staging=staging).collect()}
+    kept = {k: np.mean([out[d].selected for d, _ in rows if d % 6 in kinds]) for k, kinds in {"clean": (2, 3, 4, 5), "low": (0,), "toxic": (1,)}.items()}
+    assert kept["clean"] > 0.97 and kept["low"] < 0.03 and kept["toxic"] < 0.05
+
+
+def test_selection_is_the_exact_top_k_and_handles_odd_rows(spark, labelled, staging, docs, empty):
+    _, labels = labelled
+    out = quality.select(docs, labels.where("false"), k=17, staging=staging).collect()
+    assert sum(r.selected for r in out) == 17 and all(r.log_weight == 0 for r in out)
+    keys = sorted((r.gumbel_key for r in out if r.gumbel_key is not None), reverse=True)
+    assert min(r.gumbel_key for r in out if r.selected) == keys[16]
+    assert all(r.selected for r in quality.select(docs, labels.where("false"), staging=staging).collect())
+    assert quality.select(empty, labels, staging=staging).count() == 0
+    assert out[0].record == "clash"
+
+
+def test_windows_equal_brute_force():
+    rng = np.random.default_rng(0)
+    ratios = rng.normal(size=quality.SLOTS).astype(np.float32)
+    texts = ["", None, "abc", "abcdef", "same same same word", "Aa Bb " * 40]
+    tables = [(ratios, 6), (ratios, 64)]
+    got = quality.lowest_windows(pa.array(texts), tables)
+    for t, *low in zip(texts, *got, strict=True):
+        (block,) = words.blocks(pa.array([t]), lower=True)
+        slots, again = quality.features(block)
+        n = max(len(block.data) - quality.GRAM + 1, 0)
+        x = ratios[slots].astype(float)
+        x[again] += ratios[-1]
+        x = x[:n]
+        for (_, w), m in zip(tables, low, strict=True):
+            want = min(x[i : i + w].sum() for i in range(n - w + 1)) if n >= w else x.sum()
+            assert m == pytest.approx(want)
+
+
+# ---------------------------------------------------------------- languages
+
+SYLLABLES = {"aa": ["ka", "lo", "mi", "tu"], "bb": ["sch", "ein", "ung", "ü"], "cc": ["ño", "ción", "lla", "rr"]}
+
+
+def text_in(rng, lang, n=40):
+    return " ".join("".join(rng.choice(SYLLABLES[lang]) for _ in range(rng.randint(1, 4))) for _ in range(n))
+
+
+def test_languages_are_told_apart(spark, docs, corpus, empty):
+    rng = random.Random(4)
+    rows = [(i, lang, text_in(rng, lang, rng.randint(3, 300))) for i, lang in enumerate(list(SYLLABLES) * 60)]
+    known = spark.createDataFrame([(t, lang) for i, lang, t in rows if i % 4] + [(None, "aa"), ("x", None), (" ", "dd")], "text string, lang string")
+    model = language.fit(known)
+    assert model.languages == sorted(SYLLABLES)
+    held = spark.createDataFrame([(i, lang, t) for i, lang, t in rows if not i % 4], "i long, lang string, text string")
+    out = language.identify(held, model).collect()
+    assert all(r.language.lang == r.lang and 0 <= r.language.score <= 1 for r in out)
+    odd = {r.doc_id: r.language for r in language.identify(docs, model).collect()}
+    for d, t in corpus:
+        letterless = t is None or not any(c.isalpha() for c in t)
+        assert (odd[d].lang == "und") == letterless and (odd[d].score == 0 or not letterless)
+    assert language.identify(empty, model).count() == 0
+
+
+def test_phrases_equal_greedy_parsing():
+    rng = random.Random(9)
+    reference = text_in(rng, "aa", 60)
+    classes = np.zeros(1 << 16, np.int32)
+    for k, c in enumerate(sorted(set(reference) - {" "})):
+        classes[ord(c)] = 2 + k
+    classes[ord("z")] = 1
+    model = language.Model(["aa"], classes, [])
+    codes, _ = model.codes([reference])
+    model.tables = [language.automaton(codes[:-1].tolist(), classes.max() + 1)]
+    known = "".join(map(chr, codes[:-1].tolist()))
+    texts = [text_in(rng, "aa", 200), "", "zz ka", "ka\0lo", "kalomitu" * 3, reference]
+    count, _ = model.phrases(texts)
+    for t, n in zip(texts, count[:, 0].tolist(), strict=True):
+        own, _ = model.codes([t])
+        own, want = "".join(map(chr, own[:-1].tolist())), 0
+        for at in range(0, len(own), language.STRETCH):
+            part = own[at : at + language.STRETCH]
+            while part:
+                k = next((k for k in range(len(part), 0, -1) if part[:k] in known), 1)
+                part, want = part[k:], want + 1
+        assert n == want, t
+
+
+# ---------------------------------------------------------------- fingerprints
+
+
+def signed(x):
+    return x - (1 << 64) if x >> 63 else x
+
+
+def chained(values):
+    seed = 42
+    for size, v in values:
+        seed = xxhash.xxh64_intdigest(int(v).to_bytes(size, "little", signed=True), seed=seed)
+    return signed(seed)
+
+
+def brute_print(text, band):
+    terms = {t for t in __import__("re").split(r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", text.lower()) if t}
+    slots = {signed(xxhash.xxh64_intdigest(t.encode(), seed=42)) % fp.SLOTS for t in terms}
+    used = sorted(slots & band or slots)
+    parts = [[s for s in used if chained([(8, s), (4, 11)]) % fp.SUBSETS == k] for k in range(fp.SUBSETS)]
+    return "-".join(f"{chained([(8, s) for s in p]) % (1 << 64):016X}"[-fp.DIGITS :] if p else "" for p in parts)
+
+
+def test_fingerprints_equal_brute_force(spark, corpus, staging):
+    corpus = [(d, t) for d, t in corpus if d != 211] + [(211, "tail of it")]  # equal ids have no stated order
+    docs = frame(spark, corpus)
+    out = {r.doc_id: r for r in fp.with_edits(docs, staging).collect()}
+    rows = sorted(((d, t or "") for d, t in corpus), key=lambda r: (r[0] is not None, r[0] or 0))
+    bag = {}
+    for d, t in rows:
+        for s in {x for x in __import__("re").split(r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", t.lower()) if x}:
+            slot = signed(xxhash.xxh64_intdigest(s.encode(), seed=42)) % fp.SLOTS
+            bag.setdefault(slot, set()).add(d)
+    n = len(rows)
+    band = {s for s, ds in bag.items() if max(2.0, fp.LOW * n) <= len(ds) <= max(2.0, fp.HIGH * n)}
+
+    def like(a, b):
+        pairs = [(x, y) for x, y in zip(a.split("-"), b.split("-"), strict=True) if x or y]
+        return sum(x == y for x, y in pairs) / len(pairs) if pairs else 1.0
+
+    for (d, t), (_, after) in zip(rows, rows[1:] + rows[:1], strict=True):
+        half = len(t) // 2
+        edited = t[: len(t) - half] + after[:half]
+        r, own = out[d], brute_print(t, band)
+        assert (r.n_chars, r.edited_sha256) == (len(t), hashlib.sha256(edited.encode()).hexdigest())
+        assert r.fingerprint == own and r.edited_fingerprint == brute_print(edited, band)
+        assert r.near_edited == pytest.approx(like(own, r.edited_fingerprint)) and r.near_next == pytest.approx(like(own, brute_print(after, band)))
+
+
+def test_fingerprint_of_one_row_and_of_none(spark, empty, staging):
+    (row,) = fp.with_edits(frame(spark, [(1, "alone in here")]), staging).collect()
+    assert row.near_next == 1 and row.edited_sha256 == hashlib.sha256(b"alone ialone ").hexdigest()
+    assert fp.with_edits(empty, staging).count() == 0
+
+
+def test_fingerprints_stay_in_the_engine(docs, staging):
+    plan = fp.with_edits(docs, staging)._jdf.queryExecution().executedPlan().toString()
+    assert not any(w in plan for w in ("Python", "Pandas", "Arrow")) and CLASHES
