@@ -234,11 +234,11 @@ def loss_report(arrivals: DataFrame, demographics: DataFrame, temperature: DataF
             temperature, schemas.REQUIRED_TEMPERATURE, schemas.TEMPERATURE_KEY
         ),
     }
-    named = [df.select(F.lit(n).alias("source"), "*") for n, df in parts.items()]
-    nulled = retyping_loss(kept, schemas.ARRIVALS_KEY[0])
-    nulled = nulled.select(F.lit("arrivals").alias("__of"), "*")
-    report = functools.reduce(DataFrame.unionByName, named).join(nulled, F.col("source") == F.col("__of"), "left")
-    return report.drop("__of").fillna(0, ["nulled_keys", "nulled_values"])
+    rows = [df.select(F.lit(n).alias("source"), "*") for n, df in parts.items()]
+    rows.append(retyping_loss(kept, schemas.ARRIVALS_KEY[0]).select(F.lit("arrivals").alias("source"), "*"))
+    both = functools.reduce(functools.partial(DataFrame.unionByName, allowMissingColumns=True), rows)
+    # A handful of rows, one or two per source.
+    return both.groupBy("source").agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in both.columns if c != "source"])
 
 
 def retyping_loss(arrivals: DataFrame, key: str) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from portolan.functions import column
+from portolan.sinks.staging import Staging
 
 LINE = "__line"
 
@@ -57,18 +58,21 @@ def read_csv_with_rejects(
     sep: str = ",",
     escape: str = '"',
     multiline: bool = False,
+    staging: Staging | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Rows that fit the schema, and ``(line, bad_columns)`` of the lines that do not.
 
     ``bad_columns`` names the columns whose value could not be read, which are
     null in spite of a text in the line; it is empty for a line with too many
-    or too few values. Both frames read the file.
+    or too few values. The file is parsed once; its rows are stored for both
+    frames in ``staging``, or in a folder of its own.
     """
     if isinstance(schema, str):
         schema = StructType.fromDDL(schema)
     reader = _csv_reader(spark, sep, escape, multiline).option("enforceSchema", False)
     whole = StructType([*schema.fields, StructField(LINE, StringType())])
     rows = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", LINE).schema(whole).csv(path)
+    rows = (staging or Staging(spark)).write(rows, "csv-rows")
     good = rows.where(F.col(LINE).isNull()).drop(LINE)
     texts = F.from_csv(
         F.col(LINE), F.lit(", ".join(f"c{i} string" for i in range(len(schema)))), {"sep": sep, "escape": escape, "multiLine": "true"}
