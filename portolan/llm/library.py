@@ -3,11 +3,18 @@
 from __future__ import annotations
 
 import os
+import re
 from functools import lru_cache
 
 import numpy as np
 
-REMEMBERED = 500_000
+# Stretches, and pieces of stretches, that a worker remembers.
+REMEMBERED = 350_000
+_JOINED = 1000
+# Stretches without apostrophes, special strings or other characters than these
+# fall into pieces that the library merges each by itself, in lower case.
+_SIMPLE = re.compile(rb"[!-&(-;=-~]+")
+_PIECE = re.compile(rb"[a-z]+|[0-9]|[^a-z0-9]+")
 
 
 class LibraryCoder:
@@ -18,25 +25,58 @@ class LibraryCoder:
     ``REMEMBERED`` stretches met are remembered, the others asked for again.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, kind: str = "<u4"):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
+        self.kind = kind
         self.known: dict[bytes, bytes] = {}
+        self.pieces: dict[bytes, bytes] = {}
+        self.ends = self._word_ends()
 
-    def missing(self, chunks: list[bytes], kind: str = "<u4") -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast([c.decode() for c in chunks], add_special_tokens=False)
-        return [np.array(e.ids, kind).tobytes() for e in found]
+    def _word_ends(self) -> np.ndarray | None:
+        """Marks the ids that end a word; none if the vocabulary has no such ids or cuts pieces otherwise."""
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        if not suffix:
+            return None
+        ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        ends[[i for t, i in self.tokenizer.get_vocab(with_added_tokens=False).items() if t.endswith(suffix)]] = True
+        proof = "Ab,1.2(cD)e=>f#%&*+-/:;?@[]^_`{|}~!"
+        parts = [x.decode() for x in _PIECE.findall(proof.lower().encode())]
+        together = self._ids([proof])[0]
+        return ends if together == [i for x in self._ids(parts) for i in x] and ends[together].sum() == len(parts) else None
 
-    def run(self, texts: list[bytes], kind: str) -> list[bytes]:
-        """The ids of each text as bytes of the integer type ``kind``."""
+    def _ids(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def missing(self, chunks: list[bytes]) -> list[bytes]:
+        """Ids of stretches that are not remembered; those that fall into pieces are put together from them."""
+        kind = self.kind
+        simple = [_PIECE.findall(c.lower()) if self.ends is not None and _SIMPLE.fullmatch(c) else None for c in chunks]
+        known = self.pieces
+        new = list({p for s in simple if s for p in s if p not in known})
+        found = {}
+        for at in range(0, len(new), _JOINED):
+            part = new[at : at + _JOINED]
+            ids = np.array(self._ids([b" ".join(part).decode()])[0])
+            found.update(zip(part, np.split(ids, np.flatnonzero(self.ends[ids])[:-1] + 1), strict=True))
+        whole = iter(self._ids([c.decode() for c, s in zip(chunks, simple, strict=True) if s is None]))
+        found = {p: ids.astype(kind).tobytes() for p, ids in found.items()}
+        get = lambda p: known[p] if p in known else found[p]
+        out = [np.array(next(whole), kind).tobytes() if s is None else b"".join(map(get, s)) for s in simple]
+        for p in new[: max(REMEMBERED - len(known), 0)]:
+            known[p] = found[p]
+        return out
+
+    def run(self, texts: list[bytes]) -> list[bytes]:
+        """The ids of each text as bytes of the coder's integer type."""
         split = [t.split() for t in texts]
         known = self.known
         new = list({c for s in split for c in s if c not in known})
-        found = dict(zip(new, self.missing(new, kind), strict=True)) if new else {}
+        found = dict(zip(new, self.missing(new), strict=True)) if new else {}
         room = REMEMBERED - len(known)
         if len(found) <= room:
             known.update(found)
@@ -48,5 +88,5 @@ class LibraryCoder:
 
 
 @lru_cache(maxsize=2)
-def library(path: str) -> LibraryCoder:
-    return LibraryCoder(path)
+def library(path: str, kind: str) -> LibraryCoder:
+    return LibraryCoder(path, kind)

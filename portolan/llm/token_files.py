@@ -90,7 +90,7 @@ def _encode(path: str, end: int, kind: str, sequence: int):
             for at in range(0, len(batch), _SLICE):
                 part = batch.slice(at, _SLICE)
                 texts = [x or b"" for x in part.column("text").cast(pa.large_binary()).to_pylist()]
-                found = library(path).run(texts, kind)
+                found = library(path, kind).run(texts)
                 docs.extend(part.column("doc_id").to_pylist())
                 sizes.extend(len(x) // len(stop) + 1 for x in found)
                 ids.extend(y for x in found for y in (x, stop))
@@ -121,7 +121,7 @@ def write_tokens(
     Ids take two bytes if the vocabulary allows it, else four.
     """
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    kind = "<u2" if library(path).tokenizer.get_vocab_size() <= 1 << 16 and end < 1 << 16 else "<u4"
+    kind = "<u2" if library(path, "<u4").tokenizer.get_vocab_size() <= 1 << 16 and end < 1 << 16 else "<u4"
     n = pieces(text_bytes(docs, "text"), FILE_TEXT_BYTES)
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
     # The hash splits a frequent id too.
