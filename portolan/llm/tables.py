@@ -24,6 +24,8 @@ def ship(spark: SparkSession) -> None:
 @functools.lru_cache(maxsize=1)
 def _ship(application_id: str, spark: SparkSession) -> None:
     package = Path(__file__).resolve().parent.parent
+    if not package.is_dir():  # it came as an archive, which Spark has sent already
+        return
     folder = tempfile.mkdtemp(prefix="portolan-code-")
     archive = shutil.make_archive(f"{folder}/{package.name}", "zip", package.parent, package.name)
     spark.sparkContext.addPyFile(archive)
