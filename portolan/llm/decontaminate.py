@@ -5,7 +5,8 @@ running sums per bit. Fingerprints are looked up in blocks of 16 bits: two that
 differ in at most ``RADIUS`` bits differ in at most ``RADIUS // BLOCKS`` bits of
 some block, and the table of each block holds every value that near to an item,
 so no pair within the radius is missed. Candidates are then verified by the
-exact weighted similarity of their shingles of five words.
+exact similarity of their shingles of five words, weighted by how often each
+occurs in the window and in the item.
 
 Items are searched for in batches of bounded size, each in one pass over the
 texts, so the benchmark may grow without growing what a worker holds.
@@ -128,9 +129,6 @@ class Benchmark:
                     self.words.append(h[a:b])
         self.sizes = np.array([len(w) for w in self.words], np.int64)
         self.shingles = [Counter(_shingles(w).tolist()) for w in self.words]
-        shared = Counter(s for c in self.shingles for s in c)
-        # A shingle of several items says less about each of them.
-        self.weight = {s: 1 / n for s, n in shared.items()}
         for at, w in enumerate(self.words):
             step = max(1, len(w) // 8)
             by_size.setdefault(len(w) // step * step, []).append(at)
@@ -143,14 +141,9 @@ class Benchmark:
             self.indexes.append(Index(size, prints, own))
 
     def similarity(self, h: np.ndarray, item: int) -> float:
-        """Weighted shingles in common by weighted shingles in either."""
+        """Shingles in common by shingles in either, each as often as it occurs; no other item plays a part."""
         mine, own = Counter(_shingles(h).tolist()), self.shingles[item]
-        both = either = 0.0
-        for s in mine.keys() | own.keys():
-            w = self.weight.get(s, 1.0)
-            both += w * min(mine[s], own[s])
-            either += w * max(mine[s], own[s])
-        return both / either
+        return (mine & own).total() / (mine | own).total()
 
     def best_at(self, h: np.ndarray, begin: int, stop: int, item: int) -> tuple[float, int]:
         """The best window of the item's size that starts in ``begin .. stop``."""
@@ -204,8 +197,8 @@ class Benchmark:
 def find_leaks(docs: DataFrame, benchmark: DataFrame, *, similar: float = SIMILAR) -> DataFrame:
     """Add ``leaks`` to ``docs``: an array of (item_id, similarity, first_word, n_words), the best first.
 
-    A leak is a window of the item's number of words whose weighted shingle
-    similarity with the item is at least ``similar``. A null or wordless text
+    A leak is a window of the item's number of words whose shingle similarity
+    with the item is at least ``similar``, whatever else the benchmark holds. A null or wordless text
     has none; items without words, or with a null id or text, are not searched
     for. Equal items under several ids are all reported.
     """

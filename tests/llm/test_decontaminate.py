@@ -72,3 +72,20 @@ def test_running_sums_count_bits():
         bits = np.unpackbits(runs.view(np.uint8)).reshape(-1, 64)
         want = [np.packbits(bits[i : i + size - 2].sum(axis=0) > (size - 2) // 2).view(np.uint64)[0] for i in range(0, 701 - size, 4)]
         assert dc.fingerprints(h, size, 4).tolist() == want
+
+
+@pytest.mark.parametrize("batch", [5000, 1])
+def test_copies_of_an_item_do_not_hide_an_edit(spark, monkeypatch, batch):
+    rng = random.Random(21)
+    ids = {1: [0], 2: [1, 2], 9: list(range(3, 12))}
+    texts = {n: prose(rng, 60, 100_000) for n in ids}
+    table = spark.createDataFrame([(i, texts[n]) for n in ids for i in ids[n]], "item_id long, text string")
+    rows = []
+    for n in ids:
+        w = texts[n].split()
+        w[30] = "edited"
+        rows.append((n, " ".join([prose(rng, 25, 100_000), *w, prose(rng, 25, 100_000)])))
+    monkeypatch.setattr(dc, "ITEM_BATCH", batch)
+    for r in dc.find_leaks(frame(spark, rows), table).collect():
+        assert [x.item_id for x in r.leaks] == ids[r.doc_id]
+        assert all(x.similarity == pytest.approx(51 / 61) for x in r.leaks)
