@@ -89,3 +89,44 @@ def test_copies_of_an_item_do_not_hide_an_edit(spark, monkeypatch, batch):
     for r in dc.find_leaks(frame(spark, rows), table).collect():
         assert [x.item_id for x in r.leaks] == ids[r.doc_id]
         assert all(x.similarity == pytest.approx(51 / 61) for x in r.leaks)
+
+
+def leaking(rng, item, k):
+    """An item with ``k`` words changed, lost or added."""
+    w = item.split()
+    for _ in range(k):
+        at = rng.choice([0, len(w) - 1, rng.randrange(len(w))])
+        w[at : at + rng.choice([1, 1, 0])] = rng.choice([["edited"], ["edited"], []])
+    return " ".join(w)
+
+
+def test_every_leak_is_found_wherever_it_lies(monkeypatch):
+    rng = random.Random(31)
+    items = [(i, prose(rng, n, 3000)) for i, n in enumerate([2, 4, 5, 7, 15, 16, 23, 24, 31, 40, 59, 60, 100, 257])]
+    items += [(50, items[9][1] + " and more"), (51, items[9][1]), (52, "on and " * 15)]
+    texts = [items[13][1], "on and " * 40, "", None]
+    for i in range(400):
+        w = leaking(rng, rng.choice(items)[1], rng.randint(0, 3))
+        # Begins, ends or fills its text, or lies within it.
+        texts.append(" ".join([prose(rng, rng.randint(1, 30), 3000) * rng.randint(0, 1), w, prose(rng, rng.randint(1, 30), 3000) * rng.randint(0, 1)]))
+    bench = dc.Benchmark(items)
+    for limit in (1 << 18, 1):  # all in one block, and each text at the end of its own
+        monkeypatch.setattr(dc, "SEARCH_BYTES", limit)
+        found = list(bench.search(dc.pa.array(texts), 0.8))
+        for text, hits in zip(texts, found, strict=True):
+            want = {i: s for i, s in plain_leaks(text or "", items).items() if s >= 0.8}
+            assert {x["item_id"]: x["similarity"] for x in hits} == want
+            for x in hits:
+                w = brute.words(brute.lower(text))[x["first_word"] :][: x["n_words"]]
+                assert x["similarity"] == brute.similarity(dc.Counter(brute.runs(w)), dc.Counter(brute.runs(brute.words(items_by(items, x)))), {})
+
+
+def items_by(items, hit):
+    return brute.lower(dict(items)[hit["item_id"]])
+
+
+def plain_leaks(text, items):
+    out = {}
+    for item in items:  # one at a time, so that no weights are shared
+        out |= brute.leaks(text, [item])
+    return out
