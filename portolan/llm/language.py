@@ -129,17 +129,25 @@ def _parse(table: np.ndarray, codes: np.ndarray, begin: np.ndarray, length: np.n
 def fit(docs: DataFrame) -> Model:
     """Learn from (text, lang) rows; rows with a null are ignored.
 
-    Per language the texts with the smallest hashes are taken, at most
+    Per language the distinct texts with the smallest hashes are taken, at most
     ``TRAIN_TEXTS`` of them and at most ``TRAIN_CHARS`` characters in all, so the
-    model has the same size for any corpus.
+    model has the same size for any corpus. Of each text an equal share is taken
+    from a place chosen by its hash; what follows that place, then what precedes
+    it, fills the room that short texts leave, up to ``TRAIN_CHARS`` of a text.
     """
-    known = docs.where("text IS NOT NULL AND lang IS NOT NULL").select("lang", F.substring("text", 1, TRAIN_CHARS).alias("text"))
-    known = known.where(F.length(F.trim("text")) > 0)
-    # max_by-like bounded top per language: partial results hold TRAIN_TEXTS rows at most.
+    known = docs.where("text IS NOT NULL AND lang IS NOT NULL").select("lang", "text").where(F.length(F.trim("text")) > 0)
+    known = known.withColumn("hash", F.xxhash64("text"))
+    # Copies count once. Hashes alone are ranked, partial results hold TRAIN_TEXTS rows at most, and only texts chosen are dealt out.
     from pyspark.sql.window import Window
 
-    near = Window.partitionBy("lang").orderBy(F.xxhash64("text"), "text")
-    some = known.withColumn("place", F.row_number().over(near)).where(F.col("place") <= TRAIN_TEXTS)
+    near = Window.partitionBy("lang").orderBy("hash")
+    chosen = known.select("lang", "hash").distinct().withColumn("place", F.row_number().over(near)).where(F.col("place") <= TRAIN_TEXTS)
+    least = TRAIN_CHARS // TRAIN_TEXTS
+    begin = F.pmod(F.xxhash64("text", F.lit(1)), F.greatest(F.length("text") - least + 1, F.lit(1))).cast("int")
+    ahead = F.substring(F.col("text"), begin + 1, F.lit(TRAIN_CHARS))
+    before = F.substring(F.col("text"), F.lit(1), F.least(begin, F.lit(TRAIN_CHARS)))
+    turned = F.when(begin == 0, ahead).otherwise(F.substring(F.concat_ws(" ", ahead, before), 1, TRAIN_CHARS))
+    some = known.join(F.broadcast(chosen), ["lang", "hash"]).groupBy("lang", "place").agg(F.min(turned).alias("text"))
     texts: dict[str, list[str]] = {}
     for row in some.orderBy("lang", "place").toLocalIterator():
         texts.setdefault(row.lang, []).append(row.text)

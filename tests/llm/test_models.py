@@ -92,6 +92,26 @@ def test_languages_are_told_apart(spark, docs, corpus, empty):
     assert language.identify(empty, model).count() == 0
 
 
+def test_copies_do_not_crowd_out_the_training_texts(spark):
+    rng = random.Random(14)
+    texts = [text_in(rng, "aa", 12)[:100].strip() for _ in range(50)]
+    ranked = spark.createDataFrame([(t,) for t in texts], "text string").selectExpr("text", "xxhash64(text) AS h").orderBy("h")
+    first = ranked.first().text
+    rows = [(t, "aa") for t in texts + [first] * language.TRAIN_TEXTS] + [(text_in(rng, "bb"), "bb")]
+    model = language.fit(spark.createDataFrame(rows, "text string, lang string"))
+    count, _ = model.phrases(texts)
+    assert (count[:, 0] == 1).all()  # every text is part of the sample
+
+
+def test_a_common_heading_is_not_all_that_is_learned(spark):
+    rng = random.Random(15)
+    heading = text_in(rng, "bb", 40)[:150]
+    rows = [(heading + " " + text_in(rng, "aa", 100), "aa") for _ in range(language.TRAIN_TEXTS)]
+    model = language.fit(spark.createDataFrame(rows, "text string, lang string"))
+    assert len(model.tables[0]) > language.TRAIN_CHARS // 2
+    assert (model.phrases([text_in(rng, "aa", 30)])[0] < 30).all()
+
+
 def test_phrases_equal_greedy_parsing():
     rng = random.Random(9)
     reference = text_in(rng, "aa", 60)
