@@ -6,8 +6,8 @@ two signatures is the number of values that differ. The signature is cut into
 ``RADIUS // CHUNKS`` errors (pigeonhole), so looking up every chunk with each
 allowed set of errors left out finds all pairs within the radius. At the
 similarity of 0.8 a value differs with probability 0.2; more than 23 of 48
-differ in about 3 of a million pairs, and only a pair that also agrees in none
-of the 48 looked-up parts (less than 1 in 10**8) is lost.
+differ in 3.3 of a million pairs. The link of such a pair is lost, even if it
+shares a looked-up part; its texts may still be joined by other links.
 
 Pairs found are confirmed on the full shingle sets. Large groups of candidates
 are compared block by block, so that no task holds more than two blocks.

@@ -1,3 +1,4 @@
+import math
 import random
 
 import numpy as np
@@ -46,3 +47,8 @@ def test_every_pair_within_the_radius_shares_a_key():
     a, b = near_dedup.lookup_keys(one), near_dedup.lookup_keys(other)
     assert (a == b).any(axis=1).all()
     assert not (near_dedup.lookup_keys(one[:100]) == near_dedup.lookup_keys(one[100:])).any()
+
+
+def test_the_chance_of_a_miss_is_the_one_that_is_stated():
+    miss = sum(math.comb(near_dedup.VALUES, k) * 0.2**k * 0.8 ** (near_dedup.VALUES - k) for k in range(near_dedup.RADIUS + 1, near_dedup.VALUES + 1))
+    assert f"{miss * 1e6:.1f} of a million pairs" in " ".join(near_dedup.__doc__.split())
