@@ -95,17 +95,18 @@ def likeness(one: Column, other: Column) -> Column:
 def next_texts(docs: DataFrame, order: list[str], bits: Column) -> DataFrame:
     """Add ``fp``, the text's fingerprint, and ``next``: the (text, fp) of the row that follows in ascending order, the first one's for the last row.
 
-    Rows are dealt out by ranges of ``doc_id``; only the first row of each range
-    is looked up from outside it.
+    Rows are dealt out by ranges of ``order``, so that rows of one id, or without
+    any, are cut like others; only the first row of each range is looked up from
+    outside it.
     """
     size = text_bytes(docs, "text")
     ranges = pieces(size, RANGE_BYTES)
-    steps = [k / ranges for k in range(1, ranges)]
-    limits = docs.select(F.percentile_approx("doc_id", steps, 10_000)).first()[0] if steps else []
-    limits = sorted(set(limits or []))
+    # Nulls first, in a form in which nothing is null.
+    parts = [x for c in order for x in (F.col(c).isNotNull(), F.coalesce(F.col(c), F.lit(0).cast("long")))]
+    docs = docs.withColumn("at", F.struct(*[x.alias(f"k{i}") for i, x in enumerate(parts)]))
+    limits = range_limits(docs.select("at"), ranges) if ranges > 1 else []
     # A bisection over the limits, as one expression.
-    at = _place(F.col("doc_id"), limits, 0, len(limits))
-    docs = docs.withColumn("range", F.when(F.col("doc_id").isNull(), -1).otherwise(at))
+    docs = docs.withColumn("range", _place(F.col("at"), limits, 0, len(limits))).drop("at")
     place = F.struct(*order)
     own = F.struct("text", "fp")
     window = Window.partitionBy("range").orderBy(*order)
@@ -119,7 +120,15 @@ def next_texts(docs: DataFrame, order: list[str], bits: Column) -> DataFrame:
     return dealt.join(heads, "range", "left").withColumn("next", F.coalesce("following", "beyond")).drop("following", "beyond")
 
 
-def _place(value: Column, limits: list[int], low: int, high: int) -> Column:
+def range_limits(keys: DataFrame, ranges: int) -> list[Column]:
+    """Where each of about ``ranges`` even ranges of the struct ``at`` begins, but for the first."""
+    dealt = keys.repartitionByRange(ranges, "at").groupBy(F.spark_partition_id().alias("part")).agg(F.min("at").alias("at"))
+    # One row per range.
+    rows = sorted(tuple(r["at"]) for r in dealt.collect())
+    return [F.struct(*[(F.lit(x) if isinstance(x, bool) else F.lit(x).cast("long")).alias(f"k{i}") for i, x in enumerate(r)]) for r in rows[1:]]
+
+
+def _place(value: Column, limits: list[Column], low: int, high: int) -> Column:
     """Number of limits that are at most ``value``."""
     if low == high:
         return F.lit(low)

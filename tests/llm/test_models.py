@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -184,6 +185,23 @@ def test_fingerprints_equal_brute_force(spark, corpus, staging):
         assert r.near_edited == pytest.approx(like(own, r.edited_fingerprint)) and r.near_next == pytest.approx(like(own, brute_print(after, band)))
 
 
+def test_rows_without_id_and_of_one_id_are_cut_into_ranges(spark, staging, monkeypatch):
+    rng = random.Random(16)
+    rows = [(None, text_in(rng, "aa")) for _ in range(60)] + [(5, text_in(rng, "bb")) for _ in range(60)] + [(6, "a copy") for _ in range(60)]
+    rows += [(i, text_in(rng, "cc")) for i in range(10, 70)]
+    docs = fp.numbered(fp.stored(frame(spark, rows).select("doc_id", "text"), staging)).withColumn("tie", fp.F.xxhash64("text"))
+    monkeypatch.setattr(fp, "RANGE_BYTES", fp.text_bytes(docs, "text") // 12)
+    order = ["doc_id", "tie", fp.ROW]
+    bits = fp.lexicon(docs, staging).select("bits").scalar()
+    out = fp.next_texts(docs, order, bits).select(*order, "text", "range", "next.text").collect()
+    assert max(Counter(r["range"] for r in out).values()) <= 60
+    out.sort(key=lambda r: (r[0] is not None, r[0] or 0, r[1], r[2]))
+    assert [r["range"] for r in out] == sorted(r["range"] for r in out)
+    assert [r[5] for r in out] == [r[3] for r in out[1:] + out[:1]]
+    for heavy in (None, 5, 6):
+        assert len({r["range"] for r in out if r.doc_id == heavy}) > 1
+
+
 def test_fingerprint_of_one_row_and_of_none(spark, empty, staging):
     (row,) = fp.with_edits(frame(spark, [(1, "alone in here")]), staging).collect()
     assert row.near_next == 1 and row.edited_sha256 == hashlib.sha256(b"alone ialone ").hexdigest()
