@@ -11,8 +11,9 @@ Hence no leak is missed. Candidates are then verified by the
 exact similarity of their shingles of five words, weighted by how often each
 occurs in the window and in the item.
 
-Items are searched for in batches of bounded size, each in one pass over the
-texts, so the benchmark may grow without growing what a worker holds.
+Items are searched for in batches of bounded size. All batches go through the
+driver and into the workers of one pass over the texts, so the benchmark must
+fit the memory of each.
 """
 
 from __future__ import annotations
@@ -310,7 +311,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, *, similar: float = SIMILA
     for k in range(max(1, -(-n // ITEM_BATCH))):
         batches = max(1, -(-n // ITEM_BATCH))
         some = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(batches)) == k)
-        # About ITEM_BATCH items; the texts of all others wait for their own pass.
+        # About ITEM_BATCH items.
         leaks.append(_search(Benchmark(sorted((r.item_id, r.text) for r in some.toLocalIterator())), similar)("text"))
     found = leaks[0] if len(leaks) == 1 else F.flatten(F.array(*leaks))
     order = lambda a, b: F.when(a["similarity"] > b["similarity"], -1).when(a["similarity"] < b["similarity"], 1).when(a["item_id"] < b["item_id"], -1).otherwise(1)
