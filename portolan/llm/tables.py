@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import functools
 import math
+import re
 import shutil
 import tempfile
 from pathlib import Path
@@ -35,21 +36,43 @@ def documents(spark: SparkSession, sf_dir: str, name: str = "documents") -> Data
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# Bits of a row's number that tell its file; the rest are the row's place in it.
+# Of these choices of bits and of a salt for the hash the first one counts under which no two files share a hash.
+FILE_BITS = ((14, 0), (24, 0), (34, 0), (40, 0), (40, 1), (40, 2))
+
+
 def numbered(docs: DataFrame) -> DataFrame:
     """Add ``__row``, which tells rows apart even if their ids and texts are equal.
 
-    The number is a row's place in its file split. It is the same in every
-    evaluation only if ``docs`` is a stored table that is scanned as it is.
+    The number is made of the row's file and its place there, so it stays the
+    same however Spark cuts the files into tasks, on any number of cores and
+    in every job. ``docs`` must be a scan of Parquet files, see :func:`stored`.
+    A file is told by a hash of its path, of as few bits as tell all files of
+    the table apart; only a path per file is looked at for that. A file with
+    more rows than the other bits can number fails the query.
     """
-    return docs.withColumn(ROW, F.monotonically_increasing_id())
+    meta = docs.metadataColumn("_metadata")
+    path = meta["file_path"]
+
+    def slot(c, bits: int, salt: int):
+        return F.shiftrightunsigned(F.xxhash64(c, F.lit(salt)), 64 - bits)
+
+    files = docs.select(path.alias("path")).distinct()
+    told = [F.count_distinct(slot(F.col("path"), b, s)).alias(f"c{b}_{s}") for b, s in FILE_BITS]
+    found = files.agg(F.count(F.lit(1)).alias("n"), *told).first()
+    bits, salt = next((b, s) for b, s in FILE_BITS if found[f"c{b}_{s}"] == found["n"])
+    place = F.when(meta["row_index"] < F.lit(1 << (63 - bits)), meta["row_index"]).otherwise(
+        F.raise_error(F.lit(f"a file has more than 2^{63 - bits} rows")).cast("long")
+    )
+    return docs.withColumn(ROW, F.shiftleft(slot(path, bits, salt), 63 - bits) + place)
 
 
 def stored(docs: DataFrame, staging: Staging, label: str = "docs") -> DataFrame:
-    """``docs`` itself if it merely reads columns of files, else a stored copy of it."""
+    """``docs`` itself if it merely reads columns of Parquet files, else a stored copy of it."""
     plan = docs._jdf.queryExecution().optimizedPlan()
     while plan.nodeName() == "Project":
         plan = plan.child()
-    return docs if plan.nodeName() == "LogicalRelation" or "Relation" in plan.nodeName() else staging.write(docs, label)
+    return docs if re.search(r"Relation.*\] parquet$", plan.toString().strip()) else staging.write(docs, label)
 
 
 def text_bytes(docs: DataFrame, text: str) -> int:
