@@ -28,7 +28,9 @@ from portolan.functions import column
 from portolan.sinks import Staging
 
 # Stretches of up to so many bytes are remembered, until the text of all takes so many.
-SHORT, REMEMBERED_BYTES = 64, 6 << 20
+SHORT, REMEMBERED_BYTES = 64, 16 << 20
+# Characters of stretches that are tokenized as one text.
+TOGETHER = 1 << 14
 # Texts that are worked on at once take about so many bytes.
 BLOCK_BYTES = 4 << 20
 # A blank that follows neither white space nor a lower one-eighth block, which stands for a blank within pieces.
@@ -44,20 +46,35 @@ def _byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
+# Ids come again and again: their digits are made once.
+_decimal = lru_cache(maxsize=1 << 17)(str)
+
+
 @dataclass(frozen=True)
 class Alignment:
-    """Ids of both sides; ``cuts_a[i]`` and ``cuts_b[i]`` are the indexes where group i ends; linked ids."""
+    """Groups of ids of two tokenizations.
+
+    Group i ends at byte ``ends[i]``, before ``a[cuts_a[i]]`` and ``b[cuts_b[i]]``;
+    its links, pairs of ids, end before ``links[link_cuts[i]]``.
+    """
 
     a: list[int]
     b: list[int]
+    ends: list[int]
     cuts_a: list[int]
     cuts_b: list[int]
     links: list[tuple[int, int]]
+    link_cuts: list[int]
+
+    def texts(self) -> list[str]:
+        """Each group as ``a1,a2|b1``."""
+        a, b = ([_decimal(i) for i in ids] for ids in (self.a, self.b))
+        spans = zip([0, *self.cuts_a], self.cuts_a, [0, *self.cuts_b], self.cuts_b)
+        return [f"{','.join(a[i:j])}|{','.join(b[k:m])}" for i, j, k, m in spans]
 
     def text(self) -> str:
         """The groups as ``a1,a2|b1;a3|b2,b3``."""
-        spans = zip([0, *self.cuts_a], self.cuts_a, [0, *self.cuts_b], self.cuts_b)
-        return ";".join(f"{','.join(map(str, self.a[i:j]))}|{','.join(map(str, self.b[k:m]))}" for i, j, k, m in spans)
+        return ";".join(self.texts())
 
 
 def align_ids(a: list[int], b: list[int], bytes_a: list[bytes], bytes_b: list[bytes]) -> Alignment:
@@ -65,19 +82,22 @@ def align_ids(a: list[int], b: list[int], bytes_a: list[bytes], bytes_b: list[by
 
     A token without bytes ends where the one before it does and is linked like it.
     """
-    ends_a = list(itertools.accumulate(len(bytes_a[i]) for i in a))
-    ends_b = list(itertools.accumulate(len(bytes_b[i]) for i in b))
-    at_a = {end: i + 1 for i, end in enumerate(ends_a)}
-    at_b = {end: i + 1 for i, end in enumerate(ends_b)}
+    ends_a = list(itertools.accumulate([len(bytes_a[i]) for i in a]))
+    ends_b = list(itertools.accumulate([len(bytes_b[i]) for i in b]))
+    at_a, at_b = dict(zip(ends_a, itertools.count(1))), dict(zip(ends_b, itertools.count(1)))
     common = sorted(at_a.keys() & at_b.keys())
     cuts_a, cuts_b = [at_a[e] for e in common], [at_b[e] for e in common]
-    links, i, j = [], 0, 0
-    for end, m, n in zip(common, cuts_a, cuts_b):
-        last_a = [x for x, e in zip(a[i:m], ends_a[i:m]) if e == end]
-        last_b = [x for x, e in zip(b[j:n], ends_b[j:n]) if e == end]
-        links += itertools.product(last_a, last_b)
-        i, j = m, n
-    return Alignment(a, b, cuts_a, cuts_b, links)
+    links = [(a[i - 1], b[j - 1]) for i, j in zip(cuts_a, cuts_b)]
+    link_cuts = list(range(1, len(links) + 1))
+    if len(at_a) < len(a) or len(at_b) < len(b):  # several tokens of a group end with it
+        links, link_cuts, i, j = [], [], 0, 0
+        for end, m, n in zip(common, cuts_a, cuts_b):
+            last_a = [x for x, e in zip(a[i:m], ends_a[i:m]) if e == end]
+            last_b = [x for x, e in zip(b[j:n], ends_b[j:n]) if e == end]
+            links += itertools.product(last_a, last_b)
+            link_cuts.append(len(links))
+            i, j = m, n
+    return Alignment(a, b, common, cuts_a, cuts_b, links, link_cuts)
 
 
 class Aligner:
@@ -108,7 +128,8 @@ class Aligner:
             bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)
         ]
         # Only then a blank is never joined to what stands before it, and stretches are independent.
-        self.apart = not any(re.search("[^▁]▁", p) for p in pieces) and not any(b" " in x[1:].lstrip(b" ") for x in self.bytes_a)
+        joined = [x for x in self.bytes_a if re.search(r"\S ", x.decode(errors="ignore"))]
+        self.apart = not joined and not any(re.search("[^▁]▁", p) for p in pieces)
         self.known: dict[str, tuple] = {}
         self.known_bytes = 0
 
@@ -116,10 +137,11 @@ class Aligner:
         """The alignment of a whole text; None if it is null or empty or a tokenizer changes its bytes."""
         if not text:
             return None
-        a = self.a.encode(" " + text, add_special_tokens=False).ids
-        b = self.b.encode(text, num_threads=1)
-        whole = (" " + text).encode()
-        if b"".join(self.bytes_a[i] for i in a) != whole or b"".join(self.bytes_b[i] for i in b) != whole:
+        return self._align(" " + text, self.a.encode(" " + text, add_special_tokens=False).ids, self.b.encode(text, num_threads=1))
+
+    def _align(self, text: str, a: list[int], b: list[int]) -> Alignment | None:
+        whole, get_a, get_b = text.encode(), self.bytes_a.__getitem__, self.bytes_b.__getitem__
+        if b"".join(map(get_a, a)) != whole or b"".join(map(get_b, b)) != whole:
             return None
         return align_ids(a, b, self.bytes_a, self.bytes_b)
 
@@ -127,24 +149,53 @@ class Aligner:
         """The text cut before blanks, each stretch without its first blank."""
         if not self.apart:
             return [text]
-        if "  " in text or text[0] == " " or _IRREGULAR.search(text):
-            return [s[1:] for s in _CUT.split(" " + text)]
-        return text.split(" ")
+        irregular = "  " in text or text[0] == " " or _IRREGULAR.search(text)
+        parts = [s[1:] for s in _CUT.split(" " + text)] if irregular else text.split(" ")
+        if not parts[-1] and len(parts) > 1:  # a blank at the end is no text of its own
+            parts[-2:] = [parts[-2] + " "]
+        return parts
 
     def _learn(self, new: list[str]) -> dict[str, tuple | None]:
-        """Per stretch: number of ids, of ids, of groups, the groups' text, the links' codes; None if its bytes change."""
-        out: dict[str, tuple | None] = {}
-        a = [e.ids for e in self.a.encode_batch_fast([" " + s for s in new], add_special_tokens=False)]
-        b = self.b.encode(new, num_threads=1)
-        size = len(self.bytes_b)
-        for s, x, y in zip(new, a, b, strict=True):
-            whole = (" " + s).encode()
-            if b"".join([self.bytes_a[i] for i in x]) != whole or b"".join([self.bytes_b[i] for i in y]) != whole:
-                out[s] = None
+        """Per stretch: number of ids, of ids, of groups, the groups' text, the links' codes; None if its bytes change.
+
+        Stretches that end in no white space are independent of what follows, so many are aligned as one text.
+        """
+        lists: list[list[str]] = []
+        size = 0
+        for s in new:
+            if not self.apart or not s or s[-1].isspace() or s[-1] == "▁":
+                lists.insert(0, [s])
                 continue
-            got = align_ids(x, y, self.bytes_a, self.bytes_b)
-            codes = np.array([i * size + j for i, j in got.links], "<u4").tobytes()
-            out[s] = (len(x), len(y), len(got.cuts_a), got.text(), codes)
+            if not size:
+                lists.append([])
+            lists[-1].append(s)
+            size = (size + len(s)) if size + len(s) < TOGETHER else 0
+        texts = [" ".join(x) for x in lists]
+        a = [e.ids for e in self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
+        out: dict[str, tuple | None] = {}
+        for part, text, x, y in zip(lists, texts, a, self.b.encode(texts, num_threads=1), strict=True):
+            got = self._align(" " + text, x, y)
+            if got is None and len(part) > 1:  # one of them is to blame
+                out |= self._learn(part[: len(part) // 2]) | self._learn(part[len(part) // 2 :])
+            elif got is None:
+                out[part[0]] = None
+            else:
+                out |= self._cut(part, got)
+        return out
+
+    def _cut(self, part: list[str], got: Alignment) -> dict[str, tuple]:
+        """The alignment of a text as those of its stretches."""
+        groups, out = got.texts(), {}
+        codes = (np.array(got.links, np.int64).reshape(-1, 2) @ [len(self.bytes_b), 1]).astype("<u4").tobytes()
+        at = {end: i + 1 for i, end in enumerate(got.ends)}
+        end = before = 0
+        cuts_a, cuts_b, link_cuts = [0, *got.cuts_a], [0, *got.cuts_b], [0, *got.link_cuts]
+        for s in part:
+            end += 1 + len(s.encode())
+            i = at[end]
+            found = codes[4 * link_cuts[before] : 4 * link_cuts[i]]
+            out[s] = (cuts_a[i] - cuts_a[before], cuts_b[i] - cuts_b[before], i - before, ";".join(groups[before:i]), found)
+            before = i
         return out
 
     def run(self, texts: list[str | None]) -> list[tuple[int, int, int, str, bytes]]:
@@ -152,24 +203,20 @@ class Aligner:
         cut = [self.stretches(t) if t else [] for t in texts]
         known = self.known
         new = list({s for part in cut for s in part if s not in known})
-        found = self._learn(new) if new else {}
-        room = REMEMBERED_BYTES - self.known_bytes
-        if room > 0:
-            for s in new:
-                if len(s) <= SHORT:
-                    known[s] = found[s]
-                    room -= len(s) + 40
-                    if room <= 0:
-                        break
-            self.known_bytes = REMEMBERED_BYTES - room
+        known.update(self._learn(new))
         out = []
         for part in cut:
-            got = [known[s] if s in known else found[s] for s in part]
+            got = [known[s] for s in part]
             if not got or None in got:
                 out.append((0, 0, 0, "", b""))
                 continue
             a, b, groups, text, codes = zip(*got)
             out.append((sum(a), sum(b), sum(groups), ";".join(text), b"".join(codes)))
+        for s in new:
+            if len(s) <= SHORT and self.known_bytes < REMEMBERED_BYTES:
+                self.known_bytes += len(s) + 40
+            else:
+                del known[s]
         return out
 
 
