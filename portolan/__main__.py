@@ -6,8 +6,8 @@ import argparse
 
 from pyspark.sql import SparkSession
 
-from portolan.operators import raise_on_failure
-from portolan.plans import check_star, run_etl
+from portolan.plans import run_etl
+from portolan.sinks import Release
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -19,7 +19,10 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--mapping", required=True)
     parser.add_argument("--output", required=True)
     parser.add_argument("--infer", action="store_true", help="infer CSV types")
-    parser.add_argument("--strict", action="store_true", help="fail when a check fails")
+    parser.add_argument("--rejects", action="store_true", help="set CSV lines aside that do not fit, instead of failing")
+    parser.add_argument("--lenient", action="store_true", help="publish the tables even when a check fails")
+    parser.add_argument("--new-keys", action="store_true", help="number the dimensions anew")
+    parser.add_argument("--keep", type=int, help="delete all but so many versions older than the published one")
     args = parser.parse_args(argv)
 
     spark = SparkSession.builder.appName("portolan").getOrCreate()
@@ -32,16 +35,18 @@ def main(argv: list[str] | None = None) -> None:
         args.output,
         args.arrivals_format,
         args.infer,
+        args.rejects,
+        not args.lenient,
+        not args.new_keys,
     )
     print(*tables.losses.columns, sep="\t")
     for row in tables.losses.collect():
         print(*row, sep="\t")
-    # Computed once: a row per check.
-    checks = check_star(tables).collect()
-    for row in checks:
+    # A row per check.
+    for row in tables.checks.collect():
         print(row.status, row.check_name, row.table_name, row.columns, row.measured, sep="\t")
-    if args.strict:
-        raise_on_failure(checks)
+    if args.keep is not None:
+        Release(spark, args.output).prune(args.keep)
 
 
 if __name__ == "__main__":

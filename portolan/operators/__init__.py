@@ -7,9 +7,10 @@ from portolan.operators.columns import (
     sparse_columns,
 )
 from portolan.operators.dedup import dedup, dedup_rare, keep_one
+from portolan.operators.exact import exact_average
 from portolan.operators.groups import average_by, distinct_values, preview, row_counts
 from portolan.operators.joins import broadcast_limit, fits_broadcast, lookup_join, measured_bytes
-from portolan.operators.keys import add_dense_key, dense_key_by_range, dense_key_small
+from portolan.operators.keys import add_dense_key, dense_key_by_range, dense_key_small, merge_dimension
 from portolan.operators.profile import cleaning_loss, dedup_loss, dropna_loss, null_percent, null_profile
 from portolan.operators.quality import check_not_empty, check_not_null, check_references, check_unique, raise_on_failure
 from portolan.operators.rows import drop_missing
@@ -34,10 +35,12 @@ __all__ = [
     "drop_missing",
     "drop_sparse",
     "dropna_loss",
+    "exact_average",
     "fits_broadcast",
     "keep_one",
     "lookup_join",
     "measured_bytes",
+    "merge_dimension",
     "null_percent",
     "null_profile",
     "preview",

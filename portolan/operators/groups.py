@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from portolan.functions import column
+from portolan.operators.exact import exact_average
 
 
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -21,8 +22,8 @@ def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def average_by(df: DataFrame, key: str, value: str, name: str) -> DataFrame:
-    """Average of ``value`` per ``key``, called ``name``."""
-    return df.groupBy(column(key)).agg(F.avg(column(value)).alias(name))
+    """Average of ``value`` per ``key``, called ``name``; the same bits however the rows are spread."""
+    return exact_average(df, [key], column(value), name)
 
 
 def distinct_values(df: DataFrame, name: str) -> DataFrame:

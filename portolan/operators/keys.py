@@ -1,14 +1,17 @@
 """Surrogate keys: dense, starting at 0, in the order of stated columns.
 
-Nulls come last. The keys depend on the rows only, never on how they are
+Nulls come last, but in a merge with a stored dimension, where new values follow
+the old ones. The keys depend on the rows only, never on how they are
 spread over partitions. The ordering columns must identify a row.
 """
 
 from __future__ import annotations
 
+import functools
+import operator
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -73,3 +76,42 @@ def add_dense_key(
     if df.count() <= small_rows:
         return dense_key_small(df, order, name)
     return dense_key_by_range(df, order, name, staging)
+
+
+def merge_dimension(
+    new: DataFrame,
+    stored: DataFrame,
+    natural: Sequence[str],
+    key: str,
+    staging: Staging | None = None,
+    small_rows: int = SMALL_ROWS,
+) -> DataFrame:
+    """A dimension in which every value keeps the key it has in ``stored``.
+
+    ``natural`` names the columns that identify a row on both sides; null is a
+    value like any other. Rows of ``new`` that ``stored`` knows take its key
+    and their own, newer attributes. Unknown ones are numbered on from the
+    largest key, in the order of ``natural``. Rows that only ``stored`` has
+    stay as they are, because facts of earlier runs point to them. ``new`` has
+    no column ``key``; columns that ``stored`` lacks are null in its own rows.
+
+    Natural keys are unique on both sides, else ``ValueError``; so each meets
+    at most one row and no join is skewed.
+    """
+    staging = staging or Staging(new.sparkSession)
+    names = [f"__natural_{i}" for i in range(len(natural))]
+    known = stored.select(*[column(c).alias(n) for c, n in zip(natural, names)], column(key).alias(key))
+    for side, df, by in (("new", new, natural), ("stored", known, names)):
+        if not df.groupBy(*[column(c) for c in by]).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").isEmpty():
+            raise ValueError(f"the {side} rows repeat a value of {', '.join(natural)}")
+
+    def same(left: Sequence[str], right: Sequence[str]) -> Column:
+        return functools.reduce(operator.and_, [column(a).eqNullSafe(column(b)) for a, b in zip(left, right)])
+
+    met = staging.write(new.join(known, same(natural, names), "left").drop(*names), "met")
+    last = stored.agg(F.max(column(key))).first()[0]
+    fresh = add_dense_key(met.where(column(key).isNull()).drop(key), natural, key, staging, small_rows)
+    fresh = fresh.withColumn(key, column(key) + F.lit(0 if last is None else last + 1).cast("bigint"))
+    values = new.select(*[column(c).alias(n) for c, n in zip(natural, names)])
+    gone = stored.join(values, same(natural, names), "left_anti")
+    return met.where(column(key).isNotNull()).unionByName(fresh).unionByName(gone, allowMissingColumns=True)

@@ -5,7 +5,7 @@ from portolan.plans.dimensions import (
     build_demographics_dimension,
     build_key_dimension,
 )
-from portolan.plans.etl import StarTables, build_star, check_star, loss_report, run_etl
+from portolan.plans.etl import StarTables, build_star, check_star, loss_report, open_star, publish_star, run_etl
 from portolan.plans.star import build_fact, star_summary
 
 __all__ = [
@@ -21,6 +21,8 @@ __all__ = [
     "clean_demographics",
     "clean_temperature",
     "loss_report",
+    "open_star",
+    "publish_star",
     "run_etl",
     "star_summary",
 ]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,26 +14,42 @@ from portolan.operators import (
     average_by,
     distinct_values,
     lookup_join,
+    merge_dimension,
     rename_columns,
 )
 from portolan.sinks import Staging
 
 
+def _with_key(
+    df: DataFrame, natural: Sequence[str], key: str, staging: Staging, stored: DataFrame | None
+) -> DataFrame:
+    """Dense keys in natural order; if the dimension is stored already, its keys and then further ones."""
+    if stored is None:
+        return add_dense_key(df, natural, key, staging)
+    return merge_dimension(df, stored, natural, key, staging)
+
+
 def build_key_dimension(
-    df: DataFrame, name: str, key: str, staging: Staging | None = None
+    df: DataFrame, name: str, key: str, staging: Staging | None = None, stored: DataFrame | None = None
 ) -> DataFrame:
     """Distinct values of one column, each with a dense key; null is kept as a row.
 
-    The distinct values are staged, so that the source is read once however
+    With the ``stored`` dimension of an earlier run its values keep their
+    keys, here and in the other builders. The distinct values are staged, so that the source is read once however
     the key is then made.
     """
     staging = staging or Staging(df.sparkSession)
     values = staging.write(distinct_values(df, name), "values")
-    return add_dense_key(values, [name], key, staging)
+    return _with_key(values, [name], key, staging, stored)
 
 
 def build_calendar_dimension(
-    df: DataFrame, date: str = "arrdate", prefix: str = "arrival_", key: str = "id", staging: Staging | None = None
+    df: DataFrame,
+    date: str = "arrdate",
+    prefix: str = "arrival_",
+    key: str = "id",
+    staging: Staging | None = None,
+    stored: DataFrame | None = None,
 ) -> DataFrame:
     """One row per distinct date with its calendar parts.
 
@@ -40,7 +58,7 @@ def build_calendar_dimension(
     """
     staging = staging or Staging(df.sparkSession)
     days = staging.write(distinct_values(df, date), "days")
-    return add_dense_key(days.withColumns(calendar_parts(column(date), prefix)), [date], key, staging)
+    return _with_key(days.withColumns(calendar_parts(column(date), prefix)), [date], key, staging, stored)
 
 
 def build_country_dimension(
@@ -72,9 +90,10 @@ def build_country_dimension(
 
 
 def build_demographics_dimension(
-    df: DataFrame, key: str = "id", staging: Staging | None = None
+    df: DataFrame, key: str = "id", staging: Staging | None = None, stored: DataFrame | None = None
 ) -> DataFrame:
     """Demographics in snake case with a dense key in order of city, state and race."""
+    staging = staging or Staging(df.sparkSession)
     renamed = rename_columns(df, schemas.DEMOGRAPHICS_NAMES)
     order = [schemas.DEMOGRAPHICS_NAMES.get(c, c) for c in schemas.DEMOGRAPHICS_KEY]
-    return add_dense_key(renamed, order, key, staging)
+    return _with_key(renamed, order, key, staging, stored)

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import functools
+import operator
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from portolan import schemas
-from portolan.operators import lookup_join, rename_columns
+from portolan.operators import exact_average, lookup_join, rename_columns
 from portolan.sinks import Staging
 
 
@@ -52,10 +55,10 @@ def star_summary(
         (visatype.select("visa_type_key", "visatype"), {"visa_type_key": "visa_type_key"}),
     ):
         joined = lookup_join(joined, dim, on, limit=limit, staging=staging)
-    warmth = F.col("average_temperature")
-    return joined.groupBy("country_name", "arrival_year", "visa_type_key", "visatype").agg(
-        F.sum("n").alias("arrivals"),
-        (F.sum(warmth * F.col("n")) / F.sum(F.when(warmth.isNotNull(), F.col("n")))).alias(
-            "average_temperature"
-        ),
-    )
+    by = ["country_name", "arrival_year", "visa_type_key", "visatype"]
+    # Few rows are left, and both parts have a row per group.
+    joined = staging.write(joined, "joined")
+    counts = joined.groupBy(*by).agg(F.sum("n").alias("arrivals"))
+    means = exact_average(joined, by, F.col("average_temperature"), "average_temperature", F.col("n"))
+    same = functools.reduce(operator.and_, [counts[c].eqNullSafe(means[c]) for c in by])
+    return counts.join(means, same).select(*[counts[c] for c in by], "arrivals", "average_temperature")

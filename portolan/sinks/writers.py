@@ -60,11 +60,12 @@ def write_csv(df: DataFrame, path: str, sep: str = ",") -> None:
     """Write CSV with a header and without any index column.
 
     Quotes inside a value are doubled, the form other tools read, and blanks
-    at either end of a value are kept.
+    at either end of a value are kept. An empty text is written in quotes, a
+    null as nothing, which :func:`read_csv` tells apart.
     """
     writer = df.write.mode("overwrite").option("header", True).option("sep", sep).option("escape", '"')
     writer = writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-    writer.csv(path)
+    writer.option("emptyValue", '""').option("nullValue", "").csv(path)
 
 
 def write_text(df: DataFrame, path: str, line: str = "value") -> None:

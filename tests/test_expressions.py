@@ -50,19 +50,8 @@ def test_sas_dates(spark):
     ]
 
 
-NAMES = [
-    "NORTH-FENWOLD",
-    "ORVANE, OLD",
-    "TALVERA Rail Boat, and Not Stated (X-1, no foot crossings)",
-    "ST. MIRREN-LOWLANDS",
-    "VOID: U.N. MAPLE KEYS",
-    "o'neil",
-    "No Such Code (9)",
-    "3rd place",
-    "  two  blanks ",
-    "",
-    "élan vital",
-]
+# A hyphen, a comma, brackets, dots, quotes, digits first, blanks, nothing, letters beyond ASCII.
+NAMES = ["on-off", "left, right", "f(x, y) = z", "e.g. this", "it's", '"so"', "7up", "x2y", "  wide   gap ", "", "straße", "ñandú", "ALL CAPS"]
 
 
 def test_title_case_follows_letter_runs(spark):

@@ -1,5 +1,6 @@
 import datetime as dt
 import math
+import random
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -308,3 +309,29 @@ def test_references(spark):
     dim = spark.createDataFrame([(2,), (None,)], "d int")
     out = ops.check_references({("f", "k"): (fact, dim, "d")})
     assert [tuple(r) for r in out.collect()] == [("f", "k", 2, "FAIL")]
+
+
+def test_averages_do_not_depend_on_the_order_of_rows(spark):
+    rng = random.Random(3)
+    values = [rng.uniform(-1, 1) * 2.0 ** rng.randint(-60, 60) for _ in range(3000)] + [5e-324, -5e-324, 2.0**-1022, 1024.0, 1023.9999999999999]
+    rows = [(i % 7, v) for i, v in enumerate(values)]
+    rows += [(7, v) for v in (0.1, 0.2, 0.3, None)] + [(8, None), (9, 0.0), (9, -0.0), (10, math.inf), (10, 1.0)]
+    rows += [(11, math.inf), (11, -math.inf), (12, math.nan), (13, 1e16), (13, 1.0), (13, -1e16), (14, 5e-324), (None, 2.5), (15, 1e308), (15, -1e308), (15, 8.0)]
+    seen = set()
+    for n in (1, 4, 17):
+        rng.shuffle(rows)
+        df = spark.createDataFrame(rows, "k int, v double").repartition(n)
+        out = {r.k: r.mean for r in ops.average_by(df, "k", "v", "mean").collect()}
+        seen.add(tuple(sorted((str(k), repr(v)) for k, v in out.items())))
+    assert len(seen) == 1
+    for k in (*range(8), 9, 13, 14, 15, None):
+        mine = [v for g, v in rows if g == k and v is not None]
+        assert out[k] == math.fsum(mine) / len(mine), k
+    assert out[8] is None and out[10] == math.inf and math.isnan(out[11]) and math.isnan(out[12])
+
+
+def test_weighted_averages(spark):
+    df = spark.createDataFrame([("a", 0.1, 3), ("a", 0.7, 1), ("a", None, 9), ("a", 5.0, None), ("b", 2.0, 0)], "k string, v double, n long")
+    out = ops.exact_average(df, ["k"], F.col("v"), "mean", F.col("n"))
+    assert sorted(map(tuple, out.collect())) == [("a", math.fsum([0.1 * 3, 0.7]) / 4), ("b", None)]
+    assert ops.exact_average(df.limit(0), [], F.col("v"), "mean").collect()[0].mean is None

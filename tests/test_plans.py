@@ -6,10 +6,13 @@ import math
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
-from portolan import plans, schemas
+from portolan import operators as ops
+from portolan import plans, schemas, sinks
 from portolan.__main__ import main
 from portolan.operators import raise_on_failure
+from portolan.plans import etl
 from portolan.plans.etl import loss_report
 from portolan.sinks import write_parquet
 
@@ -30,11 +33,11 @@ def arrival(cicid, **values):
 @pytest.fixture
 def arrivals(spark):
     rows = [
-        arrival(1, i94res=101.0, visatype="WT", i94addr="NY", depdate=20580.0, admnum=92468461630.0),
-        arrival(1, i94res=101.0, visatype="WT", i94addr="NY", depdate=20580.0, admnum=92468461631.0),
-        arrival(2, i94res=236.0, visatype="B2", arrdate=0.0, i94bir=-3.9),
+        arrival(1, i94res=8105.0, visatype="WT", i94addr="NY", depdate=20580.0, admnum=92468461630.0),
+        arrival(1, i94res=8105.0, visatype="WT", i94addr="NY", depdate=20580.0, admnum=92468461631.0),
+        arrival(2, i94res=8230.0, visatype="B2", arrdate=0.0, i94bir=-3.9),
         arrival(3, i94res=999.0, visatype=None, arrdate=-1.0, i94bir=math.nan),
-        arrival(4, i94res=151.0, visatype="WT", arrdate=None, occup="x"),
+        arrival(4, i94res=8340.0, visatype="WT", arrdate=None, occup="x"),
         arrival(5, i94res=None, visatype="B1", arrdate=20454.0),
     ]
     return spark.createDataFrame(rows, schemas.ARRIVALS)
@@ -44,12 +47,12 @@ def arrivals(spark):
 def temperature(spark):
     day = dt.date(1743, 11, 1)
     rows = [
-        (day, 6.0, 1.7, "Mirren", "Orvane", "40N", "20E"),
-        (day, 7.0, 1.7, "Mirren", "Orvane", "41N", "20E"),
-        (day, 10.0, 1.7, "Lowport", "Orvane", "41N", "19E"),
-        (day, None, None, "Dunham", "Talvera", "34N", "69E"),
-        (day, math.nan, None, "Estwick", "Talvera", "34N", "62E"),
-        (day, -2.0, 1.0, "Brimley", "North-Fenwold", "11N", "15W"),
+        (day, 6.0, 1.7, "Mirren", "Pelm", "40N", "20E"),
+        (day, 7.0, 1.7, "Mirren", "Pelm", "41N", "20E"),
+        (day, 10.0, 1.7, "Lowport", "Pelm", "41N", "19E"),
+        (day, None, None, "Dunham", "Quill", "34N", "69E"),
+        (day, math.nan, None, "Estwick", "Quill", "34N", "62E"),
+        (day, -2.0, 1.0, "Brimley", "Lee-On-Sea", "11N", "15W"),
     ]
     return spark.createDataFrame(rows, schemas.TEMPERATURE)
 
@@ -73,7 +76,7 @@ def demographics(spark):
 @pytest.fixture
 def mapping(spark):
     return spark.createDataFrame(
-        [(101, "ORVANE"), (236, "TALVERA"), (151, "NORTH-FENWOLD"), (0, "UNPLACED")], schemas.MAPPING
+        [(8105, "PELM"), (8230, "QUILL"), (8340, "LEE-ON-SEA"), (0, "ISLET NINE")], schemas.MAPPING
     )
 
 
@@ -158,23 +161,23 @@ def test_country_dimension(arrivals, mapping, temperature):
     readings = plans.clean_temperature(temperature)
     dim = plans.build_country_dimension(plans.clean_arrivals(arrivals), mapping, readings)
     assert tuples(dim) == [
-        (101, "Orvane", 8.0),
-        (151, "North-Fenwold", -2.0),
-        (236, "Talvera", None),
+        (8105, "Pelm", 8.0),
+        (8340, "Lee-On-Sea", -2.0),
+        (8230, "Quill", None),
         (999, None, None),
         (None, None, None),
     ]
     raw = plans.build_country_dimension(plans.clean_arrivals(arrivals), mapping, readings, titled=False)
-    assert tuples(raw)[:2] == [(101, "ORVANE", None), (151, "NORTH-FENWOLD", None)]
+    assert tuples(raw)[:2] == [(8105, "PELM", None), (8340, "LEE-ON-SEA", None)]
 
 
 def test_country_dimension_with_repeated_mapping_rows(spark, arrivals, temperature):
     twice = spark.createDataFrame(
-        [(101, "ORVANE"), (101, "ORVANE"), (101, "ZORVANE")], schemas.MAPPING
+        [(8105, "PELM"), (8105, "PELM"), (8105, "ZPELM")], schemas.MAPPING
     )
     dim = plans.build_country_dimension(plans.clean_arrivals(arrivals), twice, temperature)
     # the first name in alphabetical order counts
-    assert [r for r in tuples(dim) if r[0] == 101] == [(101, "Orvane", 23 / 3)]
+    assert [r for r in tuples(dim) if r[0] == 8105] == [(8105, "Pelm", 23 / 3)]
 
 
 def test_failed_job_leaves_no_staged_tables(spark, tmp_path, arrivals, demographics, temperature):
@@ -292,9 +295,9 @@ def test_whole_job(spark, tmp_path, arrivals, demographics, temperature, mapping
 
     summary = plans.star_summary(star.immigration_fact, star.country, star.immigration_time, star.visatype)
     assert tuples(summary) == sorted([
-        ("Talvera", 1960, 1, "B2", 1, None),
-        ("Orvane", 2016, 2, "WT", 1, 8.0),
-        ("North-Fenwold", None, 2, "WT", 1, -2.0),
+        ("Quill", 1960, 1, "B2", 1, None),
+        ("Pelm", 2016, 2, "WT", 1, 8.0),
+        ("Lee-On-Sea", None, 2, "WT", 1, -2.0),
         (None, 1959, None, None, 1, None),
         (None, 2016, 0, "B1", 1, None),
     ], key=repr)
@@ -317,14 +320,17 @@ def test_job_from_files_by_command_line(spark, tmp_path, arrivals, demographics,
         "--mapping", csv(mapping, "codes", ","),
         "--output", str(tmp_path / "out"),
     ] + (["--infer"] if infer else [])
-    main(args)
+    with pytest.raises(ValueError, match="data quality"):  # a record without a key
+        main(args)
+    with pytest.raises(ValueError, match="published"):
+        plans.open_star(spark, str(tmp_path / "out"))
+    main(args + ["--lenient"])
     assert "immigration_fact" in capfd.readouterr().out
-    with pytest.raises(ValueError):
-        main(args + ["--strict"])
-    fact = spark.read.parquet(str(tmp_path / "out" / "immigration_fact"))
-    assert fact.count() == 5
-    dims = spark.read.parquet(str(tmp_path / "out" / "demographics"))
-    assert dims.count() == 3
+    star = plans.open_star(spark, str(tmp_path / "out"))
+    assert star.immigration_fact.count() == 5 and star.demographics.count() == 3
+    assert star.checks.where("status = 'FAIL'").count() > 0
+    main(args + ["--lenient", "--keep", "0"])
+    assert len(sinks.Release(spark, str(tmp_path / "out")).versions()) == 1
 
 
 def test_job_from_the_csv_sample(spark, tmp_path, arrivals, demographics, temperature, mapping):
@@ -340,6 +346,131 @@ def test_job_from_the_csv_sample(spark, tmp_path, arrivals, demographics, temper
         str(tmp_path / "m"),
         str(tmp_path / "out"),
         arrivals_format="csv",
+        strict=False,
     )
     assert star.immigration_fact.count() == 5 and "_c0" not in star.immigration_fact.columns
     assert tuples(star.visatype) == [("B1", 0), ("B2", 1), ("WT", 2), (None, 3)]
+
+
+# ---------------------------------------------------------------- publication
+
+
+@pytest.fixture
+def sound(arrivals, demographics, temperature, mapping):
+    """Sources whose star passes all checks."""
+    return arrivals.where("cicid < 4"), demographics.where("Race IS NOT NULL"), temperature, mapping
+
+
+def contents(star):
+    return {name: sorted(map(repr, df.collect())) for name, df in star.named().items()}
+
+
+def test_a_star_is_published_only_if_its_checks_pass(spark, tmp_path, sound, arrivals):
+    out = str(tmp_path / "out")
+    first = plans.publish_star(*sound, out)
+    assert first.checks.where("status = 'FAIL'").isEmpty()
+    before, version = contents(plans.open_star(spark, out)), sinks.Release(spark, out).current()
+    empty = (arrivals.where("cicid < 0"), *sound[1:])
+    with pytest.raises(ValueError, match="not_empty"):
+        plans.publish_star(*empty, out)
+    release = sinks.Release(spark, out)
+    assert release.current() == version and contents(plans.open_star(spark, out)) == before
+    # what failed is there to be looked at
+    failed = [v for v in release.versions() if v != version]
+    assert len(failed) == 1 and not plans.open_star(spark, out, failed[0]).checks.where("status = 'FAIL'").isEmpty()
+    second = plans.publish_star(*empty, out, strict=False)
+    assert release.current() not in (version, failed[0]) and second.immigration_fact.count() == 0
+    assert contents(first) == before  # a reader of the old version keeps its tables
+
+
+def test_a_run_that_dies_between_two_tables_changes_nothing(spark, tmp_path, sound, monkeypatch):
+    out = str(tmp_path / "out")
+    plans.publish_star(*sound, out)
+    before = contents(plans.open_star(spark, out))
+    written, write = [], etl.write_parquet
+
+    def dying(df, path, *args, **kwargs):
+        if path.endswith("/immigration_fact"):
+            raise RuntimeError("killed")
+        written.append(path)
+        write(df, path, *args, **kwargs)
+
+    monkeypatch.setattr(etl, "write_parquet", dying)
+    with pytest.raises(RuntimeError, match="killed"):
+        plans.publish_star(sound[0].where("cicid < 3"), *sound[1:], out)
+    assert any(p.endswith("/visatype") for p in written)
+    monkeypatch.undo()
+    assert contents(plans.open_star(spark, out)) == before
+    release = sinks.Release(spark, out)
+    assert len(release.versions()) == 2 and release.prune(0) == []
+    plans.publish_star(*sound, out)
+    assert len(release.prune(1)) == 1 and len(release.prune(0)) == 1 and release.versions() == [release.current()]
+    with pytest.raises(ValueError, match="published"):
+        release.discard(release.current())
+
+
+def test_pointers_that_name_nothing_are_refused(spark, tmp_path):
+    release = sinks.Release(spark, str(tmp_path / "out"))
+    assert release.current() is None and release.versions() == []
+    for name in ("../elsewhere", release.new()):
+        with pytest.raises(ValueError):
+            release.publish(name)
+    (tmp_path / "out").mkdir()
+    (tmp_path / "out" / "CURRENT").write_text("../elsewhere")
+    with pytest.raises(ValueError, match="names no version"):
+        release.current()
+
+
+def test_keys_stay_from_run_to_run(spark, tmp_path, sound):
+    out = str(tmp_path / "out")
+    some, *others = sound
+    first = plans.publish_star(some.where("visatype = 'WT'"), *others, out)
+    old = {"visa": dict(tuples(first.visatype)), "day": {r.arrdate: r.id for r in first.immigration_time.collect()}}
+    second = plans.publish_star(*sound, out)
+    new = {"visa": dict(tuples(second.visatype)), "day": {r.arrdate: r.id for r in second.immigration_time.collect()}}
+    for name in old:
+        assert old[name].items() <= new[name].items() and sorted(new[name].values()) == list(range(len(new[name])))
+    assert len(new["visa"]) > len(old["visa"]) and new["visa"]["WT"] == 0
+    assert second.checks.where("status = 'FAIL'").isEmpty()
+    third = plans.publish_star(*sound, out, keep_keys=False)
+    assert dict(tuples(third.visatype))["B1"] == 0
+    # values that are gone keep their rows; the fact of the earlier version still finds them
+    fourth = plans.publish_star(some.where("visatype <> 'WT'"), *others, out)
+    assert dict(tuples(fourth.visatype)) == dict(tuples(third.visatype))
+    assert fourth.checks.where("status = 'FAIL'").isEmpty()
+
+
+def test_lines_that_cannot_be_read_are_set_aside_and_counted(spark, tmp_path, arrivals, demographics, temperature, mapping):
+    sample = arrivals.where("cicid < 4").selectExpr("row_number() OVER (ORDER BY cicid, admnum) AS `_c0`", "*")
+    sample.toPandas().rename(columns={"_c0": ""}).to_csv(tmp_path / "sample.csv", index=False)
+    with open(tmp_path / "sample.csv", "a") as f:
+        f.write("9,not a number" + "," * 27 + "\n9,too,short\n")
+    demographics.where("Race IS NOT NULL").write.option("header", True).option("sep", ";").csv(str(tmp_path / "d"))
+    (tmp_path / "d" / "more.csv").write_text(";".join(demographics.columns) + "\nLima;Ohio;old;1;2;3;4;5;6;OH;White;9\n")
+    temperature.write.option("header", True).csv(str(tmp_path / "t"))
+    mapping.write.option("header", True).csv(str(tmp_path / "m"))
+    args = [spark, *(str(tmp_path / n) for n in ("sample.csv", "d", "t", "m", "out"))]
+    with pytest.raises(Exception, match="(?i)malformed"):
+        plans.run_etl(*args, arrivals_format="csv")
+    with pytest.raises(ValueError, match="schema"):
+        plans.run_etl(*args, arrivals_format="csv", infer=True, rejects=True)
+    plans.run_etl(*args, arrivals_format="csv", rejects=True)
+    star = plans.open_star(spark, str(tmp_path / "out"))
+    assert {r.source: r.rejected for r in star.losses.collect()} == {"arrivals": 2, "demographics": 1, "temperature": 0}
+    bad = {(r.source, tuple(r.bad_columns)) for r in star.rejects.collect()}
+    assert bad >= {("arrivals", ("cicid",)), ("demographics", ("Median Age",))} and star.rejects.count() == 3
+    assert star.immigration_fact.count() == 3
+
+
+def test_merged_dimension(spark):
+    stored = spark.createDataFrame([("b", None, 4, "old"), (None, "x", 7, "old"), ("z", "z", 0, "old")], "p string, q string, key long, note string")
+    new = spark.createDataFrame([("b", None, "new"), (None, None, "new"), ("a", "a", "new"), (None, "x", "new"), ("c", None, "new")], "p string, q string, note string")
+    want = [("a", "a", "new", 8), ("b", None, "new", 4), ("c", None, "new", 9), ("z", "z", "old", 0), (None, None, "new", 10), (None, "x", "new", 7)]
+    for small in (0, 1000):
+        out = ops.merge_dimension(new, stored, ["p", "q"], "key", small_rows=small)
+        assert sorted((tuple(r) for r in out.select("p", "q", "note", "key").collect()), key=repr) == sorted(want, key=repr)
+    assert ops.merge_dimension(new, stored.limit(0), ["p", "q"], "key").agg(F.max("key"), F.min("key")).first() == (4, 0)
+    assert ops.merge_dimension(new.limit(0), stored, ["p", "q"], "key").count() == 3
+    for a, b in ((new.unionAll(new), stored), (new, stored.unionAll(stored))):
+        with pytest.raises(ValueError, match="repeat"):
+            ops.merge_dimension(a, b, ["p", "q"], "key")

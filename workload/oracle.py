@@ -171,7 +171,7 @@ _raw_codes = "(SELECT CAST(i94res AS INT) AS i94res FROM arrivals)"
 _titled_nation = _title.format("n.n_name")
 
 _named_parts = """SELECT p_partkey AS code, p_name || ', ' || p_brand || '; size "' || p_size || '"' AS "Name",
-  nullif(p_type, 'SMALL') AS kind FROM part"""
+  CASE WHEN p_type = 'SMALL' THEN NULL WHEN p_size % 10 = 0 THEN '' ELSE p_type END AS kind FROM part"""
 
 _fact_names = {"cicid": "record_id", "i94res": "country_residence_code", "i94addr": "state_code"}
 
@@ -387,6 +387,9 @@ FROM (SELECT {_missing('l_discount')} OR {_missing('l_tax')} AS lost FROM holey)
 FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem)""",
     "cleaning_loss": LOSSES,
     "star_losses": LOSSES,
+    "star_rejects": f"""SELECT l.*, CASE source WHEN 'demographics' THEN (SELECT count(*) FROM part WHERE p_size = 7)
+  WHEN 'temperature' THEN (SELECT count(*) FROM customer WHERE c_nationkey = 5) ELSE 0 END AS rejected
+FROM ({LOSSES.replace("FROM part)", "FROM part WHERE p_size <> 7)").replace("FROM customer)", "FROM customer WHERE c_nationkey <> 5)")}) l""",
     "null_profile": f"WITH {HOLEY} SELECT "
     + ", ".join(f"count(*) FILTER ({_missing(c)}) AS {c}" for c in _holey_columns)
     + " FROM holey",
@@ -401,6 +404,10 @@ FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem)""",
     "distinct_values": "SELECT DISTINCT c_mktsegment FROM customer",
     "avg_by_group": f"""WITH {TEMPERATURE}
 SELECT "Country", avg("AverageTemperature") AS average_temperature FROM temperature GROUP BY ALL""",
+    # Balances have no digit below 2^-60: whole numbers, whose sum is rounded once.
+    "avg_unrounded": """SELECT c_nationkey, (CAST(s // (1::HUGEINT << 40) AS DOUBLE) * pow(2, 40) + CAST(s % (1::HUGEINT << 40) AS DOUBLE))
+  / pow(2, 60) / n AS average_balance
+FROM (SELECT c_nationkey, sum(CAST(c_acctbal * pow(2, 60) AS HUGEINT)) AS s, count(c_acctbal) AS n FROM customer GROUP BY ALL)""",
     "preview": "SELECT * FROM orders ORDER BY o_orderkey LIMIT 5",
     "dedup_single_key": """SELECT * EXCLUDE (rn) FROM (
   SELECT *, row_number() OVER (PARTITION BY text ORDER BY doc_id) AS rn FROM documents) WHERE rn = 1""",
@@ -427,6 +434,11 @@ FROM (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS d FROM orders)""",
     "format_count": "SELECT o_orderkey, format('{:,}', o_orderkey * o_custkey) AS formatted FROM orders",
     "format_float": """SELECT o_orderkey, format('{:,}', o_totalprice) AS price,
   format('{:,}', -o_totalprice / 8) AS eighth FROM orders""",
+    "dim_key_merge": """WITH half AS (SELECT DISTINCT o_custkey FROM orders WHERE o_orderkey <= (SELECT max(o_orderkey) // 2 FROM orders)),
+kept AS (SELECT o_custkey, row_number() OVER (ORDER BY o_custkey) - 1 AS customer_key FROM half)
+SELECT * FROM kept
+UNION ALL SELECT o_custkey, (SELECT count(*) FROM kept) + row_number() OVER (ORDER BY o_custkey) - 1
+FROM (SELECT DISTINCT o_custkey FROM orders WHERE o_custkey NOT IN (SELECT o_custkey FROM kept))""",
     "dim_surrogate_key": f"WITH {PRIORITY} SELECT * FROM priority",
     "dense_key_large": f"""SELECT row_number() OVER (ORDER BY {_last(
         ["l_orderkey", "l_partkey", "l_suppkey"]

@@ -41,7 +41,7 @@ def _named_parts(spark, sf_dir):
     return table(spark, sf_dir, "part").selectExpr(
         "p_partkey AS code",
         "concat(p_name, ', ', p_brand, '; size \"', p_size, '\"') AS Name",
-        "nullif(p_type, 'SMALL') AS kind",
+        "CASE WHEN p_type = 'SMALL' THEN NULL WHEN p_size % 10 = 0 THEN '' ELSE p_type END AS kind",
     )
 
 
@@ -225,6 +225,11 @@ def avg_by_group(spark, sf_dir):
     return ops.average_by(standins.temperature(spark, sf_dir), "Country", "AverageTemperature", "average_temperature")
 
 
+def avg_unrounded(spark, sf_dir):
+    """Means of values that no double holds exactly, which depend on the order in an ordinary sum."""
+    return ops.average_by(table(spark, sf_dir, "customer"), "c_nationkey", "c_acctbal", "average_balance")
+
+
 def preview(spark, sf_dir):
     return ops.preview(table(spark, sf_dir, "orders"), ["o_orderkey"], 5)
 
@@ -334,6 +339,15 @@ def dim_surrogate_key(spark, sf_dir):
     return plans.build_key_dimension(_orders_with_gaps(spark, sf_dir), "o_orderpriority", "priority_key")
 
 
+def dim_key_merge(spark, sf_dir):
+    """Keys of the customers in the first half of the orders, then of those in all of them: the former stay."""
+    staging = sinks.Staging(spark)
+    orders = table(spark, sf_dir, "orders")
+    half = orders.agg(F.max("o_orderkey")).first()[0] // 2
+    first = plans.build_key_dimension(orders.where(F.col("o_orderkey") <= half), "o_custkey", "customer_key", staging)
+    return plans.build_key_dimension(orders, "o_custkey", "customer_key", staging, staging.write(first, "customers"))
+
+
 def dense_key_large(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem")
     first = ["l_orderkey", "l_partkey", "l_suppkey"]
@@ -432,19 +446,19 @@ def quality_null_key(spark, sf_dir):
     )
 
 
+def _star_sources(spark, sf_dir):
+    return tuple(read(spark, sf_dir) for read in (standins.arrivals, standins.demographics, standins.temperature, standins.mapping))
+
+
 def _star(spark, sf_dir):
-    return plans.build_star(
-        standins.arrivals(spark, sf_dir),
-        standins.demographics(spark, sf_dir),
-        standins.temperature(spark, sf_dir),
-        standins.mapping(spark, sf_dir),
-        sinks.Staging(spark).path("star"),
-    )
+    return plans.build_star(*_star_sources(spark, sf_dir), sinks.Staging(spark).path("star"))
 
 
 def star_checks(spark, sf_dir):
-    """The whole job, then all checks of the stored tables."""
-    return plans.check_star(_star(spark, sf_dir))
+    """The whole job, published; the checks that were stored with the version that readers find."""
+    out = sinks.Staging(spark).path("star")
+    plans.publish_star(*_star_sources(spark, sf_dir), out, strict=False)
+    return plans.open_star(spark, out).checks
 
 
 def star_losses(spark, sf_dir):
@@ -452,6 +466,23 @@ def star_losses(spark, sf_dir):
     return _star(spark, sf_dir).losses
 
 
+def star_rejects(spark, sf_dir):
+    """The whole job from CSV files in which some lines of two sources do not fit; its losses, those lines among them."""
+    staging = sinks.Staging(spark)
+    demographics = standins.demographics(spark, sf_dir).withColumn(
+        "Median Age", F.when(F.col("Count") == 7, "young").otherwise(F.col("Median Age").cast("string"))
+    )
+    temperature = standins.temperature(spark, sf_dir).withColumn(
+        "AverageTemperature", F.when(F.col("Latitude") == "5N", "mild").otherwise(F.col("AverageTemperature").cast("string"))
+    )
+    paths = {name: staging.path(name) for name in ("arrivals", "demographics", "temperature", "mapping", "star")}
+    sinks.write_parquet(standins.arrivals(spark, sf_dir), paths["arrivals"])
+    sinks.write_csv(demographics, paths["demographics"], ";")
+    sinks.write_csv(temperature, paths["temperature"])
+    sinks.write_csv(standins.mapping(spark, sf_dir), paths["mapping"])
+    return plans.run_etl(spark, *paths.values(), rejects=True, strict=False).losses
+
+
 def star_integrity(spark, sf_dir):
     """References of line items to parts and orders of which some are taken away."""
     lines = table(spark, sf_dir, "lineitem")
@@ -492,13 +523,14 @@ QUERIES: dict[str, Query] = {
         csv_roundtrip_multiline, csv_rejects,
         select_columns, drop_columns, drop_sparse_columns, rename_columns, all_doubles_to_int,
         dropna_single, dropna_any, dropna_loss, dedup_loss, cleaning_loss, null_profile, null_percent,
-        row_count, distinct_values, avg_by_group, preview,
+        row_count, distinct_values, avg_by_group, avg_unrounded, preview,
         dedup_single_key, dedup_composite_key, dedup_rare_keys,
         double_to_int, sas_date, sas_date_string, date_to_string, title_case, calendar_parts, format_count, format_float,
         dim_surrogate_key, dense_key_large, calendar_dim, country_dim, country_dim_titled, demographics_dim,
         fact_dim_key, fact_dim_key_nullsafe, fact_dim_key_shuffled,
         clean_arrivals, clean_arrivals_text_dates, clean_temperature, clean_demographics,
         quality_row_count, quality_duplicate_key, quality_null_key,
+        dim_key_merge, star_rejects,
         star_checks, star_fact, star_summary, star_losses, star_integrity, star_summary_shuffled,
     ]
 }
