@@ -72,7 +72,8 @@ def stored(docs: DataFrame, staging: Staging, label: str = "docs") -> DataFrame:
     plan = docs._jdf.queryExecution().optimizedPlan()
     while plan.nodeName() == "Project":
         plan = plan.child()
-    return docs if re.search(r"Relation.*\] parquet$", plan.toString().strip()) else staging.write(docs, label)
+    scan = "Relation" in plan.nodeName() and re.search(r"\] parquet\s*$", plan.toString())
+    return docs if scan else staging.write(docs, label)
 
 
 def text_bytes(docs: DataFrame, text: str) -> int:
