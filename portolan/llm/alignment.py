@@ -28,11 +28,11 @@ from portolan.functions import column
 from portolan.sinks import Staging
 
 # Stretches of up to so many bytes are remembered, until the text of all takes so many.
-SHORT, REMEMBERED_BYTES = 64, 16 << 20
+SHORT, REMEMBERED_BYTES = 64, 8 << 20
 # Characters of stretches that are tokenized as one text.
 TOGETHER = 1 << 14
 # Texts that are worked on at once take about so many bytes.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 # A blank that follows neither white space nor a lower one-eighth block, which stands for a blank within pieces.
 _CUT = re.compile(r"(?<=[^\s▁])(?= )")
 _IRREGULAR = re.compile(r"[\s▁] ")
