@@ -48,8 +48,9 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
-    folder = Staging(spark).path("tokens")
-    write_tokens(documents(spark, sf_dir), folder, vocabulary(), end=1)
+    staging = Staging(spark)
+    folder = staging.path("tokens")
+    write_tokens(documents(spark, sf_dir), folder, vocabulary(), end=1, staging=staging)
     return read_documents(spark, folder).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 

@@ -1,9 +1,12 @@
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
+from portolan.llm import library, words
 from portolan.llm import token_counts as tc
 from portolan.llm import token_files as tf
 from tests.llm import brute
@@ -13,14 +16,15 @@ def ids_of(text):
     return brute.LIBRARY.encode(text or "", add_special_tokens=False).ids
 
 
-@pytest.mark.parametrize("small", [False, True])
+@pytest.mark.parametrize("small", ["", "FILE_TEXT_BYTES", "FILE_IDS"])
 def test_files_give_back_every_document(spark, docs, corpus, staging, monkeypatch, small):
     if small:
-        monkeypatch.setattr(tf, "FILE_TEXT_BYTES", 20_000)
+        monkeypatch.setattr(tf, small, 20_000 if small == "FILE_TEXT_BYTES" else 2_000)
+        monkeypatch.setattr(tf, "BLOCK_BYTES", 10_000)
     folder = staging.path("tokens")
     tf.write_tokens(docs, folder, brute.VOCABULARY, sequence=64)
     out = tf.read_documents(spark, folder).orderBy("start").collect()
-    assert (len({r.file for r in out}) > 1) == small
+    assert (len({r.file for r in out}) > 1) == bool(small)
     numbers = [r.doc_id for r in out]
     assert numbers == sorted(numbers, key=lambda d: (d is not None, d or 0))
     texts, start = {d: t for d, t in corpus}, 0
@@ -32,9 +36,9 @@ def test_files_give_back_every_document(spark, docs, corpus, staging, monkeypatc
 
 def test_random_access_without_a_copy(tmp_path):
     ids = np.arange(1, 64 * 300 + 8, dtype="<u2")
-    data = tf.arrow_file(3, ids, [5, None], np.array([10, len(ids) - 10]), 64)
+    data = tf.arrow_file(3, [ids[:10], ids[10:10], ids[10:]], [5, None], np.array([10, len(ids) - 10]), 64)
     path = tmp_path / "f.arrow"
-    path.write_bytes(data)
+    path.write_bytes(data.to_pybytes())
     before = pa.total_allocated_bytes()
     file = tf.TokenFile(pa.memory_map(str(path)))
     own, mask = file.sequence(270)
@@ -45,6 +49,55 @@ def test_random_access_without_a_copy(tmp_path):
     assert file.stream().tolist() == ids.tolist() and file.doc_ids == [5, None] and file.starts.tolist() == [0, 10]
 
 
+def test_equal_rows_are_cut_over_files(spark, staging, monkeypatch):
+    monkeypatch.setattr(tf, "FILE_TEXT_BYTES", 20_000)
+    text = "the same row again, " * 20
+    docs = staging.write(spark.range(0, 600, 1, 6).select(F.lit(7).alias("doc_id"), F.lit(text).alias("text")), "equal")
+    folder = staging.path("tokens")
+    tf.write_tokens(docs, folder, brute.VOCABULARY, sequence=64)
+    out = tf.read_documents(spark, folder).orderBy("start").collect()
+    sizes = Counter(r.file for r in out)
+    assert len(out) == 600 and len(sizes) > 5 and max(sizes.values()) < 200
+    n = len(ids_of(text)) + 1
+    assert [r.start for r in out] == list(range(0, 600 * n, n)) and len({r.ids_crc32 for r in out}) == 1
+
+
+ODD = [
+    None, "", " \n", "one", "ONE,two.3x44 <|endoftext|> it's we're' a'b<c>d", "x<|startoftext|>y", "tab\x1cfs\x1d", "é ß İ Σς 漢字 \u0085 end", "a", "b",
+    "word" * 5000, "!" * 300 + "9" * 300, "o\u0301 e\u0301", " lead", "trail ", "\x00nul", "k\u212a AZ az @[`{",
+]
+
+
+@pytest.mark.parametrize("block", [1, 40, 1 << 20])
+@pytest.mark.parametrize("remembered", [0, 2000, 1 << 20])
+@pytest.mark.parametrize("ends", [True, False])
+def test_ids_are_those_of_the_library(monkeypatch, block, remembered, ends):
+    monkeypatch.setattr(library, "REMEMBERED_BYTES", remembered)
+    monkeypatch.setattr(library, "_JOINED", 3)
+    coder = library.LibraryCoder(brute.VOCABULARY)
+    assert coder.ends is not None
+    if not ends:  # a vocabulary without marks of word ends
+        coder.ends = None
+    for texts in (ODD, ODD[::-1], ODD[4:9] * 3, [], [None, ""]):
+        at = 0
+        for first, sizes, ids in coder.run(pa.array(texts, pa.string()), block):
+            assert first == at
+            for part in np.split(ids, np.cumsum(sizes)[:-1]):
+                assert part.tolist() == ids_of(texts[at])
+                at += 1
+        assert at == len(texts)
+    assert coder.known.nbytes <= remembered
+
+
+def test_units_of_one_hash(monkeypatch):
+    monkeypatch.setattr(words.Block, "hashes", lambda self: (self.ends - self.starts).astype(np.uint64))
+    coder = library.LibraryCoder(brute.VOCABULARY)
+    texts = ["abc def", "ghi", "abc", None, "def no, on!"]
+    for _ in range(2):
+        _, sizes, ids = next(coder.run(pa.array(texts, pa.string())))
+        assert [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])] == [ids_of(t) for t in texts]
+
+
 def test_no_documents_no_files(spark, empty, staging):
     folder = staging.path("none")
     tf.write_tokens(empty, folder, brute.VOCABULARY)
