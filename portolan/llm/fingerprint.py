@@ -26,7 +26,8 @@ LOW, HIGH = 0.001, 0.05
 SUBSETS = 64
 # Hexadecimal digits of each subset's hash.
 DIGITS = 6
-RANGE_BYTES = 8 << 20
+# Text of a range of documents, and how many ranges there are at most: larger tables have larger ones.
+RANGE_BYTES, MAX_RANGES = 8 << 20, 1 << 16
 # ASCII characters that are neither letters nor digits part terms; other characters belong to them.
 PARTING = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
@@ -69,19 +70,28 @@ def fingerprint(text: Column, bits: Column) -> Column:
         return F.get(bits, F.shiftright(slot, 6).cast("int")).bitwiseAND(bit) != 0
 
     def used(slots: Column) -> Column:
-        return _once(F.filter(slots, known), lambda inside: F.array_sort(F.when(F.size(inside) > 0, inside).otherwise(slots)))
+        return _once(F.filter(slots, known), lambda inside: F.when(F.size(inside) > 0, inside).otherwise(slots))
 
-    # Each term carries its subset: a random one of the SUBSETS.
-    subset = lambda s: F.struct(s.alias("s"), F.pmod(F.xxhash64(s, F.lit(11)), F.lit(SUBSETS)).alias("k"))
-    every = F.sequence(F.lit(0).cast("long"), F.lit(SUBSETS - 1).cast("long"))
-    hashes = lambda marked: F.array_join(
-        F.transform(every, lambda k: _hash(F.transform(F.filter(marked, lambda m: m["k"] == k), lambda m: m["s"]))), "-"
-    )
-    return _once(F.transform(_once(term_slots(text), used), subset), hashes)
+    # Each term carries its subset, a random one of the SUBSETS, in front, and each subset begins
+    # with a mark that is smaller than its terms. So one sort of numbers puts every subset's terms together, in order.
+    one = 1 << SLOT_BITS
+    marks = F.sequence(F.lit(0).cast("long"), F.lit(SUBSETS * 2 * one).cast("long"), F.lit(2 * one).cast("long"))
+    subset = lambda s: F.pmod(F.xxhash64(s, F.lit(11)), F.lit(SUBSETS))
+    dealt = lambda slots: F.sort_array(F.concat(F.transform(slots, lambda s: subset(s) * F.lit(2 * one) + F.lit(one) + s), marks))
+
+    def hashes(terms: Column) -> Column:
+        def at(places: Column) -> Column:
+            every = F.sequence(F.lit(0), F.lit(SUBSETS - 1))
+            cut = lambda k: F.slice(terms, F.get(places, k) + 1, F.get(places, k + 1) - F.get(places, k) - 1)
+            return F.array_join(F.transform(every, lambda k: _hash(F.transform(cut(k), lambda v: v.bitwiseAND(F.lit(one - 1))))), "-")
+
+        return _once(F.transform(marks, lambda m: F.array_position(terms, m).cast("int")), at)
+
+    return _once(_once(_once(term_slots(text), used), dealt), hashes)
 
 
 def _hash(terms: Column) -> Column:
-    return F.when(F.size(terms) == 0, "").otherwise(F.right(F.hex(F.xxhash64(terms)), F.lit(DIGITS)))
+    return _once(terms, lambda x: F.when(F.size(x) == 0, "").otherwise(F.right(F.hex(F.xxhash64(x)), F.lit(DIGITS))))
 
 
 def likeness(one: Column, other: Column) -> Column:
@@ -92,48 +102,53 @@ def likeness(one: Column, other: Column) -> Column:
     return F.when(either == 0, F.lit(1.0)).otherwise(both / either)
 
 
-def next_texts(docs: DataFrame, order: list[str], bits: Column) -> DataFrame:
+def next_texts(docs: DataFrame, order: list[str], bits: Column, staging: Staging) -> DataFrame:
     """Add ``fp``, the text's fingerprint, and ``next``: the (text, fp) of the row that follows in ascending order, the first one's for the last row.
 
-    Rows are dealt out by ranges of ``order``, so that rows of one id, or without
-    any, are cut like others; only the first row of each range is looked up from
-    outside it.
+    Rows are dealt out by ranges of ``order``, which ends with the row's number, so
+    that rows of one id, or without any, are cut like others; only the first row of
+    each range is looked up from outside it. Where ranges begin is one array of at
+    most ``MAX_RANGES`` keys, searched by bisection; the plan is the same for any number of them.
     """
-    size = text_bytes(docs, "text")
-    ranges = pieces(size, RANGE_BYTES)
+    ranges = min(pieces(text_bytes(docs, "text"), RANGE_BYTES), MAX_RANGES)
     # Nulls first, in a form in which nothing is null.
     parts = [x for c in order for x in (F.col(c).isNotNull(), F.coalesce(F.col(c), F.lit(0).cast("long")))]
     docs = docs.withColumn("at", F.struct(*[x.alias(f"k{i}") for i, x in enumerate(parts)]))
-    limits = range_limits(docs.select("at"), ranges) if ranges > 1 else []
-    # A bisection over the limits, as one expression.
-    docs = docs.withColumn("range", _place(F.col("at"), limits, 0, len(limits))).drop("at")
-    place = F.struct(*order)
+    limits = range_limits(docs.select("at"), ranges, staging)
+    docs = docs.withColumn("limits", limits.select("limits").scalar())
+    docs = docs.withColumn("range", _place(F.col("at"), F.col("limits"), ranges)).drop("at", "limits")
     own = F.struct("text", "fp")
     window = Window.partitionBy("range").orderBy(*order)
     dealt = docs.withColumn("bits", bits).withColumn("fp", fingerprint(F.col("text"), F.col("bits"))).drop("bits").withColumn("following", F.lead(own).over(window))
-    first = docs.groupBy("range").agg(F.min_by("text", place).alias("text"))
-    first = first.withColumn("bits", bits).withColumn("fp", fingerprint(F.col("text"), F.col("bits"))).select("range", own.alias("first"))
-    # One row per range: each gets the first row of the next range, the last that of the first.
-    ranges = Window.orderBy("range")
-    beyond = F.coalesce(F.lead("first").over(ranges), F.first("first").over(ranges))
-    heads = first.select("range", beyond.alias("beyond"))
-    return dealt.join(heads, "range", "left").withColumn("next", F.coalesce("following", "beyond")).drop("following", "beyond")
+    # A range begins with the row that its limit names; this row follows the last one of the range before.
+    heads = limits.select(F.size("limits").alias("n"), F.posexplode("limits").alias("place", "at"))
+    heads = heads.select(F.pmod(F.col("place") - 1, F.col("n")).alias("range"), F.col(f"at.k{2 * len(order) - 1}").alias(order[-1]))
+    # At most MAX_RANGES pairs of numbers.
+    first = docs.drop("range").join(F.broadcast(heads), order[-1]).withColumn("bits", bits)
+    first = first.withColumn("fp", fingerprint(F.col("text"), F.col("bits"))).select("range", own.alias("beyond"))
+    return dealt.join(first, "range", "left").withColumn("next", F.coalesce("following", "beyond")).drop("following", "beyond")
 
 
-def range_limits(keys: DataFrame, ranges: int) -> list[Column]:
-    """Where each of about ``ranges`` even ranges of the struct ``at`` begins, but for the first."""
+def range_limits(keys: DataFrame, ranges: int, staging: Staging) -> DataFrame:
+    """One row, ``limits``: the first key of each of about ``ranges`` even ranges of the struct ``at``, in ascending order."""
     dealt = keys.repartitionByRange(ranges, "at").groupBy(F.spark_partition_id().alias("part")).agg(F.min("at").alias("at"))
-    # One row per range.
-    rows = sorted(tuple(r["at"]) for r in dealt.collect())
-    return [F.struct(*[(F.lit(x) if isinstance(x, bool) else F.lit(x).cast("long")).alias(f"k{i}") for i, x in enumerate(r)]) for r in rows[1:]]
+    return staging.write(dealt.agg(F.sort_array(F.collect_list("at")).alias("limits")), "limits")
+
+
+def _place(value: Column, limits: Column, most: int) -> Column:
+    """Place of the last limit that is at most ``value``; there are up to ``most`` limits."""
 
+    def halve(span: Column, _: Column) -> Column:
+        middle = F.shiftright(span["low"] + span["high"], 1)
+        up = F.get(limits, middle) <= value  # null once low and high have met at the end
+        found = (span["low"] < span["high"]) & F.coalesce(up, F.lit(False))
+        return F.struct(
+            F.when(found, middle + 1).otherwise(span["low"]).alias("low"), F.when(found, span["high"]).otherwise(middle).alias("high")
+        )
 
-def _place(value: Column, limits: list[Column], low: int, high: int) -> Column:
-    """Number of limits that are at most ``value``."""
-    if low == high:
-        return F.lit(low)
-    middle = (low + high) // 2
-    return F.when(value < limits[middle], _place(value, limits, low, middle)).otherwise(_place(value, limits, middle + 1, high))
+    whole = F.struct(F.lit(0).alias("low"), F.size(limits).alias("high"))
+    steps = F.sequence(F.lit(0), F.lit(most.bit_length()))
+    return F.aggregate(steps, whole, halve, lambda span: F.greatest(span["low"] - 1, F.lit(0)))
 
 
 def with_edits(docs: DataFrame, staging: Staging, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -149,7 +164,7 @@ def with_edits(docs: DataFrame, staging: Staging, *, doc_id: str = "doc_id", tex
     lex = lexicon(docs, staging)
     bits = lex.select("bits").scalar()
     docs = docs.withColumn("tie", F.xxhash64("text"))
-    whole = next_texts(docs, ["doc_id", "tie", ROW], bits)
+    whole = next_texts(docs, ["doc_id", "tie", ROW], bits, staging)
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), n - half), F.substring(F.col("next.text"), F.lit(1), half))

@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from portolan.llm import fingerprint as fp
 from portolan.llm import language, quality, words
@@ -193,7 +194,7 @@ def test_rows_without_id_and_of_one_id_are_cut_into_ranges(spark, staging, monke
     monkeypatch.setattr(fp, "RANGE_BYTES", fp.text_bytes(docs, "text") // 12)
     order = ["doc_id", "tie", fp.ROW]
     bits = fp.lexicon(docs, staging).select("bits").scalar()
-    out = fp.next_texts(docs, order, bits).select(*order, "text", "range", "next.text").collect()
+    out = fp.next_texts(docs, order, bits, staging).select(*order, "text", "range", "next.text").collect()
     assert max(Counter(r["range"] for r in out).values()) <= 60
     out.sort(key=lambda r: (r[0] is not None, r[0] or 0, r[1], r[2]))
     assert [r["range"] for r in out] == sorted(r["range"] for r in out)
@@ -202,6 +203,24 @@ def test_rows_without_id_and_of_one_id_are_cut_into_ranges(spark, staging, monke
         assert len({r["range"] for r in out if r.doc_id == heavy}) > 1
 
 
+def test_the_plan_does_not_grow_with_the_ranges(spark, staging, monkeypatch):
+    rows = [(i, f"text {i} of these") for i in range(300)]
+    docs = staging.write(frame(spark, rows).select("doc_id", "text"), "docs")
+    sizes = []
+    for each in (fp.text_bytes(docs, "text") // 2, fp.text_bytes(docs, "text") // 200):
+        monkeypatch.setattr(fp, "RANGE_BYTES", each)
+        sizes.append(len(fp.with_edits(docs, staging)._jdf.queryExecution().optimizedPlan().toString()))
+    assert abs(sizes[1] - sizes[0]) < 0.02 * sizes[0]
+
+
+def test_place_among_limits(spark):
+    for n in (0, 1, 2, 3, 7, 8, 9):
+        for most in {n, n + 1, 2 * n + 1}:
+            values = spark.range(1, 22).withColumn("limits", F.array(*[F.lit(2 * i + 1).cast("long") for i in range(n)]).cast("array<bigint>"))
+            out = values.select("id", fp._place(F.col("id"), F.col("limits"), most).alias("place")).collect()
+            assert all(r.place == max(min((r.id + 1) // 2, n) - 1, 0) for r in out)
+
+
 def test_fingerprint_of_one_row_and_of_none(spark, empty, staging):
     (row,) = fp.with_edits(frame(spark, [(1, "alone in here")]), staging).collect()
     assert row.near_next == 1 and row.edited_sha256 == hashlib.sha256(b"alone ialone ").hexdigest()
