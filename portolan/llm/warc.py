@@ -31,9 +31,10 @@ DICTIONARY, SKIPPABLE, FRAME = 0x184D2A5D, 0x184D2A50, 0xFD2FB528
 EMPTY_FRAME = struct.pack("<II", SKIPPABLE, 0)
 SMALLEST_REVISIT = 100
 DICTIONARY_BYTES = 64 << 10
-# Records a dictionary is built from, and how much of each: bounds on what one task reads for it.
+# Records a dictionary is built from, and how much of each: bounds on what the driver fetches for it.
 SAMPLE_RECORDS, SAMPLE_BYTES = 1000, 16 << 10
-FILE_BYTES = 128 << 20
+# A file ends with the record that brings it to so many bytes; a task holds one file.
+FILE_BYTES = 24 << 20
 LEVEL = 3
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _DATE = "1970-01-01T00:00:00Z"
@@ -128,20 +129,28 @@ def _press(dictionary: bytes) -> zstandard.ZstdCompressor:
     return zstandard.ZstdCompressor(level=LEVEL, dict_data=data, write_checksum=True)
 
 
-def _compress(dictionary: bytes):
+def _compress(dictionary: bytes, limit: int):
+    """Archives, each a value: the dictionary's frame and a frame per record, until they take ``limit`` bytes."""
+    lead = struct.pack("<II", DICTIONARY, len(dictionary)) + dictionary if dictionary else b""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        press, lead = _press(dictionary), bool(dictionary)
+        press, out = _press(dictionary), pa.BufferOutputStream()
+
+        def file() -> pa.RecordBatch:
+            data = out.getvalue()
+            value = pa.Array.from_buffers(pa.binary(), 1, [None, pa.py_buffer(struct.pack("<ii", 0, data.size)), data])
+            return pa.RecordBatch.from_arrays([value], ["value"])
+
         for batch in batches:
-            out = []
             for page in _pages(batch):
-                if lead:
-                    out.append(struct.pack("<II", DICTIONARY, len(dictionary)) + dictionary)
-                    lead = False
-                out.append(press.compress(build_record(page)))
-                if len(out) >= 500:
-                    yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["value"])
-                    out = []
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["value"])
+                if not out.tell():
+                    out.write(lead)
+                out.write(press.compress(build_record(page)))
+                if out.tell() >= limit:
+                    yield file()
+                    out = pa.BufferOutputStream()
+        if out.tell():
+            yield file()
 
     return run
 
@@ -161,7 +170,8 @@ def archive(pages: DataFrame, folder: str, *, staging: Staging, page_id: str = "
 
     Of records with equal payloads of at least ``SMALLEST_REVISIT`` bytes the one
     with the smallest id is the response (of equal ids the first row; a null id
-    comes last), the others revisit it. An empty table writes no record.
+    comes last), the others revisit it. An empty table writes no record. Files
+    are cut at ``FILE_BYTES``; only a single record may be longer.
     """
     pages = pages.select(
         F.col(page_id).cast("long").alias("page_id"), F.col(url).cast("string").alias("url"), F.col(html).cast("string").alias("html")
@@ -177,18 +187,33 @@ def archive(pages: DataFrame, folder: str, *, staging: Staging, page_id: str = "
     heads = pages.where(F.col("n_bytes") >= SMALLEST_REVISIT).groupBy("digest").agg(F.min(order).alias("head"), F.count("row").alias("n"))
     heads = staging.write(heads.where("n > 1").select("digest", "head.page_id", "head.row"), "heads")
     heads = heads.select("digest", F.col("page_id").alias("refers_to"), F.col("row").alias("refers_row"))
-    whole = pages.join(heads, "digest", "left")
-    first = F.col("refers_row").isNull() | (F.col("refers_row") == F.col("row"))
-    whole = whole.withColumns(
-        {"refers_to": F.when(~first, F.col("refers_to")), "refers_row": F.when(~first, F.col("refers_row"))}
-    )
+    # Digests meet without payloads; the one link of a row then meets its payload by the row's number.
+    keys = pages.where(F.col("n_bytes") >= SMALLEST_REVISIT).select("digest", "row")
+    links = keys.join(heads, "digest").where(F.col("refers_row") != F.col("row")).select("row", "refers_to", "refers_row")
+    whole = pages.join(staging.write(links, "links"), "row", "left")
     plain = pages.withColumns({"refers_to": F.lit(None).cast("long"), "refers_row": F.lit(None).cast("long")})
-    some = plain.orderBy(F.xxhash64("row"), "row").limit(SAMPLE_RECORDS)
-    # At most SAMPLE_RECORDS * SAMPLE_BYTES bytes, of which the sorted rows are the bounded top.
-    dictionary = train([bytes(r.sample) for r in some.mapInArrow(_samples, "sample binary").collect()])
-    values = whole.mapInArrow(_compress(dictionary), "value binary")
+    # SAMPLE_RECORDS row numbers, at most, are broadcast, and SAMPLE_BYTES of each of these records are fetched.
+    chosen = sampled(pages.select("row"), SAMPLE_RECORDS)
+    some = plain.join(F.broadcast(chosen), "row", "left_semi")
+    dictionary = train(sorted(bytes(r.sample) for r in some.mapInArrow(_samples, "sample binary").collect()))
+    values = whole.mapInArrow(_compress(dictionary, FILE_BYTES), "value binary")
+    # A row is a file.
     writer = values.select(F.col("value").cast("string")).write.option("lineSep", EMPTY_FRAME.decode())
-    writer.text(folder)
+    writer.option("maxRecordsPerFile", 1).text(folder)
+
+
+def sampled(rows: DataFrame, n: int) -> DataFrame:
+    """The ``n`` row numbers with the smallest hashes, or all.
+
+    Only rows whose hash lies below four times the share wanted are sorted, so
+    a task passes on few of them, however many tasks there are.
+    """
+    total = rows.count()
+    below = -(1 << 63) + (1 << 64) * 4 * n // max(total, 4 * n)
+    key = F.xxhash64("row")
+    if below < 1 << 63:
+        rows = rows.where(key < below)
+    return rows.orderBy(key, "row").limit(n)
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from portolan.llm import warc
 from tests.llm.conftest import prose
@@ -40,6 +41,25 @@ def test_archives_give_back_every_page(spark, staging):
         list(warc.frames(memoryview(bare)))
 
 
+def test_archives_are_cut(spark, staging, monkeypatch):
+    monkeypatch.setattr(warc, "FILE_BYTES", 70_000)
+    rng = random.Random(4)
+    rows = [(i, f"u{i}", prose(rng, 900, 10**6)) for i in range(120)] + [(500, "u", rng.randbytes(100_000).hex()), (None, "u", None)]
+    folder = staging.path("warc")
+    warc.archive(pages_of(spark, rows), folder, staging=staging)
+    out = warc.read_archives(spark, folder).collect()
+    assert sorted((repr(r.page_id), r.payload_bytes) for r in out) == sorted((repr(i), len(h or "")) for i, _, h in rows)
+    sizes = [r.length for r in spark.read.format("binaryFile").load(folder + "/part-*").select("length").collect()]
+    assert len(sizes) > 6 and sorted(sizes)[-2] < 80_000
+
+
+def test_sample_of_rows(spark):
+    rows = spark.range(20_000).withColumnRenamed("id", "row")
+    want = rows.orderBy(F.xxhash64("row"), "row").limit(50).collect()
+    assert warc.sampled(rows, 50).collect() == want
+    assert warc.sampled(rows, 30_000).count() == 20_000 and warc.sampled(rows.limit(0), 5).count() == 0
+
+
 def test_records_that_are_damaged_are_not_read(spark, staging):
     folder = staging.path("warc")
     warc.archive(pages_of(spark, [(1, "u", "x" * 200)]), folder, staging=staging)
