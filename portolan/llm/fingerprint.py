@@ -119,14 +119,17 @@ def next_texts(docs: DataFrame, order: list[str], bits: Column, staging: Staging
     docs = docs.withColumn("range", _place(F.col("at"), F.col("limits"), ranges)).drop("at", "limits")
     own = F.struct("text", "fp")
     window = Window.partitionBy("range").orderBy(*order)
-    dealt = docs.withColumn("bits", bits).withColumn("fp", fingerprint(F.col("text"), F.col("bits"))).drop("bits").withColumn("following", F.lead(own).over(window))
+    dealt = docs.withColumn("bits", bits).withColumn("fp", fingerprint(F.col("text"), F.col("bits"))).drop("bits")
+    # Column by column: a struct of both would be made, text and all, before the shuffle.
+    dealt = dealt.withColumns({c: F.lead(of).over(window) for c, of in (("after", "text"), ("after_fp", "fp"))})
     # A range begins with the row that its limit names; this row follows the last one of the range before.
     heads = limits.select(F.size("limits").alias("n"), F.posexplode("limits").alias("place", "at"))
     heads = heads.select(F.pmod(F.col("place") - 1, F.col("n")).alias("range"), F.col(f"at.k{2 * len(order) - 1}").alias(order[-1]))
     # At most MAX_RANGES pairs of numbers.
     first = docs.drop("range").join(F.broadcast(heads), order[-1]).withColumn("bits", bits)
     first = first.withColumn("fp", fingerprint(F.col("text"), F.col("bits"))).select("range", own.alias("beyond"))
-    return dealt.join(first, "range", "left").withColumn("next", F.coalesce("following", "beyond")).drop("following", "beyond")
+    following = F.when(F.col("after").isNotNull(), F.struct(F.col("after").alias("text"), F.col("after_fp").alias("fp")))
+    return dealt.join(first, "range", "left").withColumn("next", F.coalesce(following, "beyond")).drop("after", "after_fp", "beyond")
 
 
 def range_limits(keys: DataFrame, ranges: int, staging: Staging) -> DataFrame:
