@@ -125,10 +125,11 @@ def build_star(
     def old(name: str) -> DataFrame | None:
         return previous.named()[name] if previous else None
 
-    def store(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
+    def store(df: DataFrame, name: str, partition_by: Sequence[str] = (), order_by: Sequence[str] = ()) -> DataFrame:
         path = f"{output.rstrip('/')}/{name}"
         # Only the calendar is partitioned: its folders hold at most a week.
-        write_parquet(df, path, partition_by, schemas.COMMENTS[name], small_folders=name == "immigration_time")
+        small = name == "immigration_time"
+        write_parquet(df, path, partition_by, schemas.COMMENTS[name], small_folders=small, order_by=order_by)
         return load_table(spark, path)
 
     def losses_table() -> DataFrame:
@@ -168,7 +169,8 @@ def build_star(
         visatype = store(
             build_key_dimension(cleaned, "visatype", "visa_type_key", staging, old("visatype")), "visatype"
         )
-        fact = store(build_fact(cleaned, visatype, staging=staging), "immigration_fact")
+        # A date's arrivals may be many; their ids cut them.
+        fact = store(build_fact(cleaned, visatype, staging=staging), "immigration_fact", order_by=["arrdate", "record_id"])
         return StarTables(
             visatype=visatype,
             immigration_time=calendar.result(),

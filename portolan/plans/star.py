@@ -36,6 +36,7 @@ def star_summary(
     visatype: DataFrame,
     limit: int | None = None,
     staging: Staging | None = None,
+    years: tuple[int, int] | None = None,
 ) -> DataFrame:
     """Arrivals and mean temperature per country, year of arrival and visa type.
 
@@ -43,7 +44,16 @@ def star_summary(
     dimension and reduces any number of arrivals to at most codes x dates x
     visa types; the dimensions then meet these few rows. Temperatures are
     weighted by the counts, which equals averaging over the arrivals.
+
+    ``years``, the first and the last one wanted, leaves other arrivals, and those without a
+    date, out. The calendar says which dates these are; the first and the last of them
+    are fetched and filter the fact, whose files are in the order of dates.
     """
+    if years is not None:
+        calendar = calendar.where(F.col("arrival_year").between(*years))
+        first, last = calendar.agg(F.min("arrdate"), F.max("arrdate")).first()
+        # Without such a date the comparison is null, and no arrival is left.
+        fact = fact.where(F.col("arrdate").between(F.lit(first), F.lit(last)))
     counted = fact.groupBy("country_residence_code", "arrdate", "visa_type_key").agg(
         F.count(F.lit(1)).alias("n")
     )
@@ -55,6 +65,8 @@ def star_summary(
         (visatype.select("visa_type_key", "visatype"), {"visa_type_key": "visa_type_key"}),
     ):
         joined = lookup_join(joined, dim, on, limit=limit, staging=staging)
+    if years is not None:
+        joined = joined.where(F.col("arrival_year").isNotNull())
     by = ["country_name", "arrival_year", "visa_type_key", "visatype"]
     # Few rows are left, and both parts have a row per group.
     joined = staging.write(joined, "joined")

@@ -28,6 +28,7 @@ def write_parquet(
     partition_by: Sequence[str] = (),
     comments: Mapping[str, str] | None = None,
     small_folders: bool = False,
+    order_by: Sequence[str] = (),
 ) -> None:
     """Write Parquet, optionally one folder per value of ``partition_by``.
 
@@ -40,10 +41,20 @@ def write_parquet(
     such as a calendar. There the cost is the number of files, not their size;
     folders are spread over a fixed number of tasks, which adaptive execution
     would otherwise merge into one.
+
+    ``order_by`` is for a table without folders: rows are dealt out by ranges of
+    these columns and sorted within each file, so that a filter on the first
+    of them reads only the files and row groups that its values lie in. A last
+    column that differs from row to row lets a frequent value be cut, too.
     """
+    if order_by and partition_by:
+        raise ValueError("a table has either folders or ranges")
     if comments:
         df = with_comments(df, comments)
     if not partition_by:
+        if order_by:
+            keys = [column(c) for c in order_by]
+            df = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
         df.write.mode("overwrite").parquet(path)
         return
     # Whatever the session says, folders of an earlier run go.

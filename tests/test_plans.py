@@ -5,6 +5,7 @@ import datetime as dt
 import math
 from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -301,11 +302,41 @@ def test_whole_job(spark, tmp_path, arrivals, demographics, temperature, mapping
         (None, 1959, None, None, 1, None),
         (None, 2016, 0, "B1", 1, None),
     ], key=repr)
+    tables = star.immigration_fact, star.country, star.immigration_time, star.visatype
+    assert tuples(plans.star_summary(*tables, years=(1959, 1960))) == sorted(
+        [r for r in tuples(summary) if r[1] in (1959, 1960)], key=repr
+    )
+    assert plans.star_summary(*tables, years=(1800, 1801)).count() == 0
     # a second run replaces the first
     again = plans.build_star(arrivals.where("cicid < 3"), demographics, temperature, mapping, str(tmp_path / "out"))
     assert again.immigration_fact.count() == 2 and again.visatype.count() == 2
 
 
+def test_a_range_of_dates_reads_few_row_groups(spark, tmp_path):
+    """A third of the rows have one date; it is cut over files, the others lie apart."""
+    rows = spark.range(0, 9000, 1, 6).select(
+        F.col("id").alias("record_id"),
+        F.when(F.col("id") % 3 == 0, "2016-05-05").otherwise(F.concat(F.lit("20"), F.lpad((F.col("id") % 60).cast("string"), 2, "0"), F.lit("-01-01"))).alias("arrdate"),
+    )
+    path = str(tmp_path / "fact")
+    merge = "spark.sql.adaptive.coalescePartitions.enabled"  # else these few rows are one task
+    spark.conf.set(merge, "false")
+    sinks.write_parquet(rows, path, order_by=["arrdate", "record_id"])
+    spark.conf.unset(merge)
+    stored = spark.read.parquet(path)
+    assert tuples(stored) == tuples(rows)
+    found = stored.where(F.col("arrdate").between("2041-01-01", "2041-12-31"))
+    assert "GreaterThanOrEqual(arrdate,2041-01-01)" in found._jdf.queryExecution().executedPlan().toString()
+    groups = []
+    for file in Path(path).glob("*.parquet"):
+        meta = pq.ParquetFile(file).metadata
+        groups += [(s.min, s.max, meta.num_rows) for s in (meta.row_group(i).column(1).statistics for i in range(meta.num_row_groups))]
+    assert len(groups) >= 4 and sum(a <= "2041-12-31" and b >= "2041-01-01" for a, b, _ in groups) <= 2
+    assert sum(a <= "2016-05-05" <= b for a, b, _ in groups) >= 2 and max(n for *_, n in groups) < 4500
+    with pytest.raises(ValueError):
+        sinks.write_parquet(rows, path, partition_by=["arrdate"], order_by=["record_id"])
+
+
 @pytest.mark.parametrize("infer", [False, True])
 def test_job_from_files_by_command_line(spark, tmp_path, arrivals, demographics, temperature, mapping, capfd, infer):
     def csv(df, name, sep):

@@ -487,6 +487,7 @@ FROM (SELECT DISTINCT o_custkey FROM orders WHERE o_custkey NOT IN (SELECT o_cus
     "star_fact": f"{STAR} SELECT * FROM fact",
     "star_summary": SUMMARY,
     "star_summary_shuffled": SUMMARY,
+    "star_year": f"SELECT * FROM ({SUMMARY}) WHERE arrival_year = 1995",
     "star_integrity": " UNION ALL ".join(
         f"SELECT 'lineitem' AS table_name, '{k}' AS column_name, count(*) AS orphans, {_status('count(*) = 0')} "
         f"FROM lineitem WHERE {k} NOT IN ({known})"

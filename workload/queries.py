@@ -508,6 +508,13 @@ def star_fact(spark, sf_dir):
     return _star(spark, sf_dir).immigration_fact
 
 
+def star_year(spark, sf_dir):
+    """The whole job, then the summary of a single year, which reads that year's files."""
+    star = _star(spark, sf_dir)
+    tables = star.immigration_fact, star.country, star.immigration_time, star.visatype
+    return plans.star_summary(*tables, years=(1995, 1995)).withColumn("average_temperature", F.round("average_temperature", 8))
+
+
 def star_summary(spark, sf_dir):
     """The whole job, then the fact table over its dimensions."""
     star = _star(spark, sf_dir)
@@ -531,6 +538,6 @@ QUERIES: dict[str, Query] = {
         clean_arrivals, clean_arrivals_text_dates, clean_temperature, clean_demographics,
         quality_row_count, quality_duplicate_key, quality_null_key,
         dim_key_merge, star_rejects,
-        star_checks, star_fact, star_summary, star_losses, star_integrity, star_summary_shuffled,
+        star_checks, star_fact, star_summary, star_losses, star_integrity, star_summary_shuffled, star_year,
     ]
 }
