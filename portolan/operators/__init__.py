@@ -11,7 +11,15 @@ from portolan.operators.exact import exact_average
 from portolan.operators.groups import average_by, distinct_values, preview, row_counts
 from portolan.operators.joins import broadcast_limit, fits_broadcast, lookup_join, measured_bytes
 from portolan.operators.keys import add_dense_key, dense_key_by_range, dense_key_small, merge_dimension
-from portolan.operators.profile import cleaning_loss, dedup_loss, dropna_loss, null_percent, null_profile
+from portolan.operators.profile import (
+    cleaning_loss,
+    counted_loss,
+    dedup_loss,
+    dropna_loss,
+    key_counts,
+    null_percent,
+    null_profile,
+)
 from portolan.operators.quality import check_not_empty, check_not_null, check_references, check_unique, raise_on_failure
 from portolan.operators.rows import drop_missing
 
@@ -24,6 +32,7 @@ __all__ = [
     "check_references",
     "check_unique",
     "cleaning_loss",
+    "counted_loss",
     "dedup",
     "dedup_loss",
     "dedup_rare",
@@ -37,6 +46,7 @@ __all__ = [
     "dropna_loss",
     "exact_average",
     "fits_broadcast",
+    "key_counts",
     "keep_one",
     "lookup_join",
     "measured_bytes",

@@ -12,9 +12,10 @@ from pyspark.sql.window import Window
 
 from portolan.functions import column
 from portolan.operators.joins import fits_broadcast
+from portolan.operators.profile import REPEATED, ROWS, key_counts, key_names
 from portolan.sinks.staging import Staging
 
-RANK, COPIES = "__rank", "__copies"
+RANK = "__rank"
 
 # Rows of repeated keys count as few up to this share of the table.
 RARE_SHARE = 0.1
@@ -53,6 +54,7 @@ def dedup_rare(
     order: Sequence[Column] | None = None,
     staging: Staging | None = None,
     rare: float = RARE_SHARE,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """Same result as :func:`dedup`, for wide tables in which few keys repeat.
 
@@ -60,23 +62,24 @@ def dedup_rare(
     are at most the share ``rare`` of the table, and the keys few enough to
     broadcast, rows with any other key pass through without a shuffle and only
     the rows of repeated keys are ranked. Otherwise the whole table is ranked.
-    ``df`` is read more than once, so it should be a stored table.
+    ``df`` is read more than once, so it should be a stored table. ``counts`` is
+    a stored :func:`key_counts` of the same rows and keys, if there is one; the
+    keys are then not counted again.
     """
-    staging = staging or Staging(df.sparkSession)
-    names = [f"__key_{i}" for i in range(len(keys))]
-    repeated = staging.write(
-        df.groupBy(*[column(k).alias(n) for k, n in zip(keys, names)])
-        .agg(F.count(F.lit(1)).alias(COPIES))
-        .where(F.col(COPIES) > 1),
-        "repeated-keys",
-    )
-    concerned = repeated.agg(F.coalesce(F.sum(COPIES), F.lit(0))).first()[0]
-    if concerned > rare * df.count() or not fits_broadcast(repeated):
+    if counts is None:
+        staging = staging or Staging(df.sparkSession)
+        counts = staging.write(key_counts(df, keys), "key-counts")
+    names = key_names(keys)
+    repeated = counts.where(F.col(REPEATED)).select(*names)
+    concerned, rows = counts.agg(
+        F.coalesce(F.sum(F.when(F.col(REPEATED), F.col(ROWS))), F.lit(0)), F.coalesce(F.sum(ROWS), F.lit(0))
+    ).first()
+    if concerned > rare * rows or not fits_broadcast(repeated):
         return dedup(df, keys, order)
     same_key = functools.reduce(
         operator.and_, [column(k).eqNullSafe(F.col(n)) for k, n in zip(keys, names)]
     )
-    repeated = F.broadcast(repeated.select(*names))
+    repeated = F.broadcast(repeated)
     single = df.join(repeated, same_key, "left_anti")
     several = df.join(repeated, same_key, "left_semi")
     return single.unionByName(dedup(several, keys, order))

@@ -9,13 +9,15 @@ from __future__ import annotations
 
 import functools
 import operator
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from portolan.functions import column, is_missing
 
+REPEATED, ROWS, MISSING, KEPT = "__repeated", "__rows", "__missing", "__kept"
+
 
 def null_profile(df: DataFrame, rows: str | None = None) -> DataFrame:
     """One row: the number of null or NaN values of every column.
@@ -68,19 +70,62 @@ def cleaning_loss(df: DataFrame, subset: Sequence[str], keys: Sequence[str]) ->
     Rows with a missing value in ``subset`` go first, then all but one row per
     key.
     """
+    per_key = _per_key(df, subset, [column(k).alias(n) for k, n in zip(keys, key_names(keys))], {})
+    return _losses(per_key.withColumn(KEPT, (F.col(ROWS) > F.col(MISSING)).cast("bigint")), [])
+
+
+def key_names(keys: Sequence[str]) -> list[str]:
+    """The names of the key columns of :func:`key_counts`."""
+    return [f"__key_{i}" for i in range(len(keys))]
+
+
+def key_counts(
+    df: DataFrame, keys: Sequence[str], subset: Sequence[str] = (), sums: Mapping[str, Column] | None = None
+) -> DataFrame:
+    """What removal of duplicates and its loss report need to know, from one pass.
+
+    A row per key that occurs more than once, and one row for all other keys
+    together, whose keys are null and whose ``REPEATED`` is false: so the table
+    is as small as the repeated keys are few. Columns are the keys under
+    :func:`key_names`, the number of rows, of rows with a missing value in
+    ``subset`` and of keys with a row without one, and the sum of each column in ``sums``.
+
+    Rows are added up per key before they are shuffled, and the keys that occur
+    once before they are shuffled again; so neither meets in one task.
+    """
+    sums = dict(sums or {})
+    names = key_names(keys)
+    per_key = _per_key(df, subset, [column(k).alias(n) for k, n in zip(keys, names)], sums)
+    several = F.col(ROWS) > 1
+    shown = [F.when(several, F.col(n)).alias(n) for n in names]
+    totals = [F.sum(c).alias(c) for c in (ROWS, MISSING)]
+    totals.append(F.count_if(F.col(ROWS) > F.col(MISSING)).alias(KEPT))
+    return per_key.groupBy(several.alias(REPEATED), *shown).agg(*totals, *[F.sum(c).alias(c) for c in sums])
+
+
+def counted_loss(counts: DataFrame, sums: Sequence[str] = ()) -> DataFrame:
+    """:func:`cleaning_loss` from :func:`key_counts`, with the columns that were summed there."""
+    return _losses(counts, sums)
+
+
+def _per_key(df: DataFrame, subset: Sequence[str], keys: Sequence[Column], sums: Mapping[str, Column]) -> DataFrame:
     types = {f.name: f.dataType for f in df.schema}
     missing = functools.reduce(
         operator.or_, [is_missing(c, types[c]) for c in subset], F.lit(False)
     )
-    per_key = df.groupBy(*[column(k) for k in keys]).agg(
-        F.count(F.lit(1)).alias("__n"), F.count_if(missing).alias("__missing")
+    return df.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias(ROWS),
+        F.count_if(missing).alias(MISSING),
+        *[F.sum(value).alias(name) for name, value in sums.items()],
     )
-    before = F.coalesce(F.sum("__n"), F.lit(0))
-    lost = F.coalesce(F.sum("__missing"), F.lit(0))
-    after = F.count_if(F.col("__n") > F.col("__missing"))
-    return per_key.agg(
+
+
+def _losses(counts: DataFrame, sums: Sequence[str]) -> DataFrame:
+    before, lost, after, *others = [F.coalesce(F.sum(c), F.lit(0)) for c in (ROWS, MISSING, KEPT, *sums)]
+    return counts.agg(
         before.alias("before"),
         lost.alias("dropped_missing"),
         (before - lost - after).alias("dropped_duplicates"),
         after.alias("after"),
+        *[value.alias(name) for name, value in zip(sums, others)],
     )

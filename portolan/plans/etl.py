@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import dataclasses
 import functools
-import operator
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
@@ -13,17 +12,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from portolan import schemas
-from portolan.functions import column
 from portolan.operators import (
     check_not_empty,
     check_not_null,
     check_references,
     check_unique,
     cleaning_loss,
-    drop_columns,
+    counted_loss,
     raise_on_failure,
 )
-from portolan.plans.cleaning import clean_arrivals, clean_demographics, clean_temperature, retype_arrivals
+from portolan.plans.cleaning import NULLED, arrival_counts, clean_arrivals, clean_demographics, clean_temperature
 from portolan.plans.dimensions import (
     build_calendar_dimension,
     build_country_dimension,
@@ -132,9 +130,9 @@ def build_star(
         write_parquet(df, path, partition_by, schemas.COMMENTS[name], small_folders=small, order_by=order_by)
         return load_table(spark, path)
 
-    def losses_table() -> DataFrame:
+    def losses_table(counts: DataFrame) -> DataFrame:
         path = f"{output.rstrip('/')}/cleaning_losses"
-        report = loss_report(arrivals, demographics, temperature)
+        report = loss_report(arrivals, demographics, temperature, counts)
         if rejects is not None:
             report = with_rejected(report, rejects)
         write_parquet(report, path)
@@ -160,9 +158,10 @@ def build_star(
 
     with ThreadPoolExecutor(max_workers=4) as pool:
         cities = pool.submit(inheritable_thread_target(spark)(demographics_table))
-        losses = pool.submit(inheritable_thread_target(spark)(losses_table))
+        counts = staging.write(arrival_counts(arrivals), "arrival-counts")
+        losses = pool.submit(inheritable_thread_target(spark)(losses_table), counts)
         cleaned = staging.write(
-            clean_arrivals(arrivals, rare_duplicates=rare_duplicates, staging=staging), "arrivals"
+            clean_arrivals(arrivals, rare_duplicates=rare_duplicates, staging=staging, counts=counts), "arrivals"
         )
         calendar = pool.submit(inheritable_thread_target(spark)(calendar_table), cleaned)
         country = pool.submit(inheritable_thread_target(spark)(country_table), cleaned)
@@ -309,15 +308,18 @@ def _completeness(tables: StarTables) -> DataFrame:
     return functools.reduce(DataFrame.unionByName, results)
 
 
-def loss_report(arrivals: DataFrame, demographics: DataFrame, temperature: DataFrame) -> DataFrame:
+def loss_report(
+    arrivals: DataFrame, demographics: DataFrame, temperature: DataFrame, counts: DataFrame | None = None
+) -> DataFrame:
     """Rows before, dropped and after cleaning, one row per source.
 
     ``nulled_keys`` and ``nulled_values`` count what became null in retyping:
-    record keys, and values of any column (keys included).
+    record keys, and values of any column (keys included). ``counts`` are the
+    stored :func:`arrival_counts`, if there are any; the arrivals are then not read.
     """
-    kept = drop_columns(arrivals, schemas.SPARSE_ARRIVALS)
+    counts = arrival_counts(arrivals) if counts is None else counts
     parts = {
-        "arrivals": cleaning_loss(retype_arrivals(kept), [], schemas.ARRIVALS_KEY),
+        "arrivals": counted_loss(counts, NULLED),
         "demographics": cleaning_loss(
             demographics, schemas.REQUIRED_DEMOGRAPHICS, schemas.DEMOGRAPHICS_KEY
         ),
@@ -326,10 +328,8 @@ def loss_report(arrivals: DataFrame, demographics: DataFrame, temperature: DataF
         ),
     }
     rows = [df.select(F.lit(n).alias("source"), "*") for n, df in parts.items()]
-    rows.append(retyping_loss(kept, schemas.ARRIVALS_KEY[0]).select(F.lit("arrivals").alias("source"), "*"))
     both = functools.reduce(functools.partial(DataFrame.unionByName, allowMissingColumns=True), rows)
-    # A handful of rows, one or two per source.
-    return both.groupBy("source").agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in both.columns if c != "source"])
+    return both.na.fill(0)
 
 
 def with_rejected(report: DataFrame, rejects: DataFrame) -> DataFrame:
@@ -340,19 +340,6 @@ def with_rejected(report: DataFrame, rejects: DataFrame) -> DataFrame:
     return both.groupBy("source").agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in [*numbers, "rejected"]])
 
 
-def retyping_loss(arrivals: DataFrame, key: str) -> DataFrame:
-    """``(nulled_keys, nulled_values)``: what retyping the arrivals turns into null."""
-    names = [f.name for f in arrivals.schema if f.dataType.typeName() == "double"]
-    after = retype_arrivals(arrivals.select("*", F.struct(*names).alias("__before")))
-    was = {c: F.col("__before").getField(c) for c in names}
-    lost = {c: (was[c].isNotNull() & ~F.isnan(was[c]) & column(c).isNull()).cast("long") for c in names}
-    total = functools.reduce(operator.add, lost.values(), F.lit(0))
-    return after.agg(
-        F.coalesce(F.sum(lost[key]) if key in lost else F.lit(0), F.lit(0)).alias("nulled_keys"),
-        F.coalesce(F.sum(total), F.lit(0)).alias("nulled_values"),
-    )
-
-
 def run_etl(
     spark: SparkSession,
     arrivals_path: str,

@@ -86,6 +86,21 @@ def test_losses(spark):
     assert ops.dedup_loss(empty, ["k"]).first() == (0, 0, 0)
 
 
+@pytest.mark.parametrize("partitions", [1, 5])
+def test_key_counts(spark, partitions):
+    rows = [("a", 1, 1.0), ("a", 1, None), ("b", None, None), ("b", None, None), (None, 2, 5.0), ("c", 3, float("nan")), (None, None, 4.0)]
+    df = spark.createDataFrame(rows, "k string, l int, v double").repartition(partitions)
+    counts = ops.key_counts(df, ["k", "l"], ["v"], {"filled": F.col("v").isNotNull().cast("long")})
+    assert tuples(counts) == sorted(
+        [(True, "a", 1, 2, 1, 1, 1), (True, "b", None, 2, 2, 0, 0), (False, None, None, 3, 1, 2, 3)], key=repr
+    )
+    loss = tuples(ops.counted_loss(counts, ["filled"]))
+    assert loss == [(*tuples(ops.cleaning_loss(df, ["v"], ["k", "l"]))[0], 4)] == [(7, 4, 0, 3, 4)]
+    assert tuples(ops.counted_loss(ops.key_counts(df.limit(0), ["k"]))) == [(0, 0, 0, 0)]
+    # with NaN, so compared as text
+    assert repr(tuples(ops.dedup_rare(df, ["k", "l"], rare=1.0, counts=counts))) == repr(tuples(ops.dedup(df, ["k", "l"])))
+
+
 def test_counts_averages_distinct_preview(spark):
     df = spark.createDataFrame([("x", 1.0), ("x", 2.0), (None, 5.0), ("y", None)], "k string, v double")
     assert tuples(ops.row_counts({"t": df, "u": df.where("false")})) == [("t", 4), ("u", 0)]

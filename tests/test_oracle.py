@@ -105,6 +105,11 @@ def test_calendar_filter_prunes_folders(spark):
     assert "PartitionFilters: [isnotnull(arrival_year" in plan
 
 
+def test_losses_read_each_source_once(spark):
+    plan = physical(loss_report(*sources_of(spark)[:3]))
+    assert plan.count("Scan parquet") == 3
+
+
 def test_counting_reads_no_column(spark):
     assert "ReadSchema: struct<>" in physical(ops.row_counts({"t": standins.table(spark, SF, "lineitem")}))
 
