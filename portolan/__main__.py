@@ -22,6 +22,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--rejects", action="store_true", help="set CSV lines aside that do not fit, instead of failing")
     parser.add_argument("--lenient", action="store_true", help="publish the tables even when a check fails")
     parser.add_argument("--new-keys", action="store_true", help="number the dimensions anew")
+    parser.add_argument("--increment", action="store_true", help="add the arrivals to those of the published star")
     parser.add_argument("--keep", type=int, help="delete all but so many versions older than the published one")
     args = parser.parse_args(argv)
 
@@ -38,6 +39,7 @@ def main(argv: list[str] | None = None) -> None:
         args.rejects,
         not args.lenient,
         not args.new_keys,
+        args.increment,
     )
     print(*tables.losses.columns, sep="\t")
     for row in tables.losses.collect():

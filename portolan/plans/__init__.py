@@ -5,7 +5,9 @@ from portolan.plans.dimensions import (
     build_demographics_dimension,
     build_key_dimension,
 )
-from portolan.plans.etl import StarTables, build_star, check_star, loss_report, open_star, publish_star, run_etl
+from portolan.plans.etl import StarTables, build_star, check_star, loss_report, open_star, publish_star
+from portolan.plans.increment import publish_increment
+from portolan.plans.job import run_etl
 from portolan.plans.star import build_fact, star_summary
 
 __all__ = [
@@ -22,6 +24,7 @@ __all__ = [
     "clean_temperature",
     "loss_report",
     "open_star",
+    "publish_increment",
     "publish_star",
     "run_etl",
     "star_summary",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import dataclasses
 import functools
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
@@ -28,9 +28,10 @@ from portolan.plans.dimensions import (
     build_demographics_dimension,
     build_key_dimension,
 )
+from portolan.plans.layers import read_fact
 from portolan.plans.star import build_fact
 from portolan.sinks import Release, Staging, path_exists, write_parquet
-from portolan.sources import load_table, read_csv, read_csv_with_rejects, read_indexed_csv
+from portolan.sources import load_table
 
 
 @dataclasses.dataclass(frozen=True)
@@ -82,6 +83,30 @@ FILLED = {
 }
 
 
+def store_table(df: DataFrame, folder: str, name: str) -> DataFrame:
+    """Write a table of the star below ``folder`` in its layout; gives the stored table."""
+    path = f"{folder.rstrip('/')}/{name}"
+    layout = {}
+    if name == "immigration_time":
+        # Only the calendar is partitioned: its folders hold at most a week.
+        layout = {"partition_by": schemas.CALENDAR_PARTITIONS, "small_folders": True}
+    elif name == "immigration_fact":
+        # A date's arrivals may be many; their ids cut them.
+        layout = {"order_by": ["arrdate", "record_id"]}
+    write_parquet(df, path, comments=schemas.COMMENTS[name], **layout)
+    return load_table(df.sparkSession, path)
+
+
+def store_rejects(rejected: Mapping[str, DataFrame] | None, folder: str) -> DataFrame | None:
+    """Write the lines of all sources that could not be read as ``(source, line, bad_columns)``."""
+    if not rejected:
+        return None
+    lines = [df.select(F.lit(name).alias("source"), "line", "bad_columns") for name, df in rejected.items()]
+    lines, path = functools.reduce(DataFrame.unionByName, lines), f"{folder.rstrip('/')}/rejects"
+    write_parquet(lines, path)
+    return load_table(lines.sparkSession, path)
+
+
 def build_star(
     arrivals: DataFrame,
     demographics: DataFrame,
@@ -123,12 +148,8 @@ def build_star(
     def old(name: str) -> DataFrame | None:
         return previous.named()[name] if previous else None
 
-    def store(df: DataFrame, name: str, partition_by: Sequence[str] = (), order_by: Sequence[str] = ()) -> DataFrame:
-        path = f"{output.rstrip('/')}/{name}"
-        # Only the calendar is partitioned: its folders hold at most a week.
-        small = name == "immigration_time"
-        write_parquet(df, path, partition_by, schemas.COMMENTS[name], small_folders=small, order_by=order_by)
-        return load_table(spark, path)
+    def store(df: DataFrame, name: str) -> DataFrame:
+        return store_table(df, output, name)
 
     def losses_table(counts: DataFrame) -> DataFrame:
         path = f"{output.rstrip('/')}/cleaning_losses"
@@ -138,11 +159,7 @@ def build_star(
         write_parquet(report, path)
         return load_table(spark, path)
 
-    rejects = None
-    if rejected:
-        lines = [df.select(F.lit(name).alias("source"), "line", "bad_columns") for name, df in rejected.items()]
-        write_parquet(functools.reduce(DataFrame.unionByName, lines), f"{output.rstrip('/')}/rejects")
-        rejects = load_table(spark, f"{output.rstrip('/')}/rejects")
+    rejects = store_rejects(rejected, output)
 
     def demographics_table() -> DataFrame:
         cities = staging.write(clean_demographics(demographics), "demographics")
@@ -150,7 +167,7 @@ def build_star(
 
     def calendar_table(cleaned: DataFrame) -> DataFrame:
         calendar = build_calendar_dimension(cleaned, staging=staging, stored=old("immigration_time"))
-        return store(calendar, "immigration_time", schemas.CALENDAR_PARTITIONS)
+        return store(calendar, "immigration_time")
 
     def country_table(cleaned: DataFrame) -> DataFrame:
         readings = clean_temperature(temperature)
@@ -168,8 +185,7 @@ def build_star(
         visatype = store(
             build_key_dimension(cleaned, "visatype", "visa_type_key", staging, old("visatype")), "visatype"
         )
-        # A date's arrivals may be many; their ids cut them.
-        fact = store(build_fact(cleaned, visatype, staging=staging), "immigration_fact", order_by=["arrdate", "record_id"])
+        fact = store(build_fact(cleaned, visatype, staging=staging), "immigration_fact")
         return StarTables(
             visatype=visatype,
             immigration_time=calendar.result(),
@@ -191,7 +207,8 @@ def open_star(spark: SparkSession, output: str, version: str | None = None) -> S
     folder = release.folder(version)
     extra = {"losses": "cleaning_losses", "rejects": "rejects", "checks": "checks"}
     there = {n: load_table(spark, f"{folder}/{path}") for n, path in extra.items() if path_exists(spark, f"{folder}/{path}")}
-    return StarTables(**{name: load_table(spark, f"{folder}/{name}") for name in STAR}, **there)
+    tables = {name: load_table(spark, f"{folder}/{name}") for name in STAR if name != "immigration_fact"}
+    return StarTables(**tables, immigration_fact=read_fact(release, version), **there)
 
 
 def publish_star(
@@ -338,59 +355,3 @@ def with_rejected(report: DataFrame, rejects: DataFrame) -> DataFrame:
     numbers = [c for c in report.columns if c != "source"]
     both = report.withColumn("rejected", F.lit(0).cast("bigint")).unionByName(count, allowMissingColumns=True)
     return both.groupBy("source").agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in [*numbers, "rejected"]])
-
-
-def run_etl(
-    spark: SparkSession,
-    arrivals_path: str,
-    demographics_path: str,
-    temperature_path: str,
-    mapping_path: str,
-    output: str,
-    arrivals_format: str = "parquet",
-    infer: bool = False,
-    rejects: bool = False,
-    strict: bool = True,
-    keep_keys: bool = True,
-) -> StarTables:
-    """Read the four sources from files, build the star below ``output``, check and publish it.
-
-    CSV sources are read with the schemas of :mod:`portolan.schemas`, or with
-    inferred types when ``infer`` is set. Arrivals as CSV have an unnamed index
-    column first; they are stored as Parquet before they are read again and
-    again. A line that does not fit its schema fails the run; with ``rejects``
-    such lines are stored beside the star, with their source, and counted in
-    the losses. See :func:`publish_star` for the other options.
-    """
-    if rejects and infer:
-        raise ValueError("lines are set aside by a schema, not by inferred types")
-    staging = Staging(spark)
-    rejected: dict[str, DataFrame] = {}
-
-    def csv(path: str, schema: str, source: str, sep: str = ",", index: str | None = None) -> DataFrame:
-        if rejects:
-            good, rejected[source] = read_csv_with_rejects(spark, path, schema, sep, staging=staging, index=index)
-            return good
-        return read_csv(spark, path, None if infer else schema, sep)
-
-    try:
-        if arrivals_format == "csv" and rejects:
-            arrivals = csv(arrivals_path, schemas.ARRIVALS, "arrivals", index="_c0")
-        elif arrivals_format == "csv":
-            text = read_csv(spark, arrivals_path).drop("_c0") if infer else read_indexed_csv(spark, arrivals_path, schemas.ARRIVALS)
-            arrivals = staging.write(text, "arrivals-csv")
-        else:
-            arrivals = load_table(spark, arrivals_path, arrivals_format)
-        return publish_star(
-            arrivals,
-            csv(demographics_path, schemas.DEMOGRAPHICS, "demographics", ";"),
-            csv(temperature_path, schemas.TEMPERATURE, "temperature"),
-            csv(mapping_path, schemas.MAPPING, "mapping"),
-            output,
-            strict=strict,
-            keep_keys=keep_keys,
-            staging=staging,
-            rejected=rejected,
-        )
-    finally:
-        staging.clear()

@@ -4,19 +4,22 @@ The tables of a version lie below ``<output>/versions/<version>``. A small
 pointer file names the version that readers take. A run writes a version of
 its own, has it checked, and switches the pointer at the very end. So a run
 that fails, or is killed between two tables, changes nothing for readers, and
-the tables they see always belong together.
+the tables they see always belong together. A version may read tables of
+earlier ones; it names them in a file of its own, and they are kept as long as it is.
 """
 
 from __future__ import annotations
 
 import re
 import uuid
+from collections.abc import Iterable
 from datetime import datetime, timezone
 
 from pyspark.sql import SparkSession
 
 POINTER = "CURRENT"
 VERSIONS = "versions"
+NEEDS = "NEEDS"
 _NAME = re.compile(r"\d{8}T\d{12}-[0-9a-f]{8}")
 
 
@@ -45,14 +48,9 @@ class Release:
 
     def current(self) -> str | None:
         """The published version; None if there has been none yet."""
-        pointer, files = _path(self.spark, f"{self.output}/{POINTER}")
-        if not files.exists(pointer):
+        text = self._read(f"{self.output}/{POINTER}")
+        if text is None:
             return None
-        stream = files.open(pointer)
-        try:
-            text = self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8").strip()
-        finally:
-            stream.close()
         if not _NAME.fullmatch(text):
             raise ValueError(f"{self.output}/{POINTER} names no version: {text[:100]!r}")
         return text
@@ -93,6 +91,25 @@ class Release:
         finally:
             stream.close()
 
+    def _read(self, path: str) -> str | None:
+        target, files = _path(self.spark, path)
+        if not files.exists(target):
+            return None
+        stream = files.open(target)
+        try:
+            return self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8").strip()
+        finally:
+            stream.close()
+
+    def require(self, version: str, others: Iterable[str]) -> None:
+        """Note, before ``version`` is written, the earlier ones that its readers need."""
+        path, files = _path(self.spark, f"{self.folder(version)}/{NEEDS}")
+        self._write(files, path, "\n".join(sorted(others)))
+
+    def needs(self, version: str) -> set[str]:
+        """The earlier versions that readers of ``version`` need."""
+        return set((self._read(f"{self.folder(version)}/{NEEDS}") or "").split())
+
     def versions(self) -> list[str]:
         """All versions, oldest first, published or not."""
         folder, files = _path(self.spark, f"{self.output}/{VERSIONS}")
@@ -101,21 +118,29 @@ class Release:
         return sorted(n for n in (s.getPath().getName() for s in files.listStatus(folder)) if _NAME.fullmatch(n))
 
     def discard(self, version: str) -> None:
-        """Delete a version that is not the published one."""
+        """Delete a version that is neither the published one nor needed by any other."""
         if version == self.current():
             raise ValueError(f"version {version} is the published one")
+        by = [v for v in self.versions() if v != version and version in self.needs(v)]
+        if by:
+            raise ValueError(f"version {version} is needed by {', '.join(by)}")
         folder, files = _path(self.spark, self.folder(version))
         files.delete(folder, True)
 
     def prune(self, keep: int = 2) -> list[str]:
         """Delete versions older than the published one but for the last ``keep`` of them; gives their names.
 
+        Versions that any remaining one needs stay, too.
+
         A query that reads an old version fails when it goes, so ``keep``
         should span the longest reader. Newer versions may be runs under way.
         """
         published = self.current()
         older = [v for v in self.versions() if published and v < published]
-        gone = older[: max(len(older) - keep, 0)]
-        for version in gone:
+        old = older[: max(len(older) - keep, 0)]
+        needed = set().union(*[self.needs(v) for v in self.versions() if v not in old])
+        gone = [v for v in old if v not in needed]
+        # The newest first: it may be the one that needs the others.
+        for version in reversed(gone):
             self.discard(version)
         return gone

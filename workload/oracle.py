@@ -485,6 +485,8 @@ FROM (SELECT DISTINCT o_custkey FROM orders WHERE o_custkey NOT IN (SELECT o_cus
     ),
     "star_checks": STAR_CHECKS,
     "star_fact": f"{STAR} SELECT * FROM fact",
+    "star_increment": f"{STAR} SELECT f.* EXCLUDE (visa_type_key), v.visatype FROM fact f LEFT JOIN visatypes v USING (visa_type_key)",
+    "star_increment_losses": LOSSES,
     "star_summary": SUMMARY,
     "star_summary_shuffled": SUMMARY,
     "star_year": f"SELECT * FROM ({SUMMARY}) WHERE arrival_year = 1995",
