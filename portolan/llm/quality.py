@@ -34,6 +34,8 @@ TEMPERATURE = 0.25
 # Labelled rows that may be used: a share of all labels, fixed by hash, of about this many.
 MAX_LABELS = 200_000
 _SEGMENTS = 32
+# Text worked on at once; its numbers take about eighty times as much.
+BLOCK_BYTES = 1 << 18
 FIT, CHECK, LOW, TOXIC = 1, 2, 3, 4
 
 
@@ -60,7 +62,7 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     raw, target = np.zeros(SLOTS, np.int64), np.zeros(SLOTS, np.int64)
     for batch in batches:
         fit = batch.column("role").to_numpy(zero_copy_only=False) == FIT
-        for block in words.blocks(batch.column("text"), lower=True):
+        for block in words.blocks(batch.column("text"), lower=True, limit=BLOCK_BYTES):
             slots, again = features(block)
             usable = _usable(block)
             raw[:-1] += np.bincount(slots[usable], minlength=SLOTS - 1)
@@ -83,7 +85,7 @@ def _added(table: pa.Table) -> pa.Table:
 def lowest_windows(column: pa.Array | pa.ChunkedArray, tables: Sequence[tuple[np.ndarray, int]]) -> list[np.ndarray]:
     """Per (log ratios, window), each text's smallest sum of ratios over that many n-grams in a row."""
     out: list[list[np.ndarray]] = [[] for _ in tables]
-    for block in words.blocks(column, lower=True):
+    for block in words.blocks(column, lower=True, limit=BLOCK_BYTES):
         slots, again = features(block)
         unusable = ~_usable(block)
         size = np.diff(block.bounds)
