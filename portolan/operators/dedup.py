@@ -16,6 +16,11 @@ from portolan.operators.profile import REPEATED, ROWS, key_counts, key_names
 from portolan.sinks.staging import Staging
 
 RANK = "__rank"
+HEAVY, PART = "__heavy", "__part"
+
+# A key with more rows than this is reduced in parts before it meets in one task.
+HEAVY_ROWS = 100_000
+PARTS = 64
 
 # Rows of repeated keys count as few up to this share of the table.
 RARE_SHARE = 0.1
@@ -24,11 +29,28 @@ RARE_SHARE = 0.1
 def keep_one(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """The first row of each key under ``order``. Null is a key like any other.
 
-    Spark turns ``row_number() = 1`` into a limit per key on both sides of the
-    shuffle: a task sends at most one row per key, so a key that holds a large
-    share of all rows is reduced before it meets in one place.
+    Rows are dealt out by key before they are ranked, so no task sorts a whole
+    input split: the ranking of ``row_number() = 1`` then sorts only what one
+    shuffle partition holds. A key with more than ``HEAVY_ROWS`` rows, found
+    from the key columns alone, is first cut into ``PARTS`` parts by the task
+    that read its rows; each part keeps its first row, and those few rows are
+    ranked again, so such a key never meets whole in one place.
     """
-    window = Window.partitionBy(*[column(k) for k in keys]).orderBy(*order)
+    names = key_names(keys)
+    same_key = functools.reduce(operator.and_, [column(k).eqNullSafe(F.col(n)) for k, n in zip(keys, names)])
+    counted = df.groupBy(*[column(k).alias(n) for k, n in zip(keys, names)]).count()
+    heavy = counted.where(F.col("count") > HEAVY_ROWS).select(*names, F.lit(True).alias(HEAVY))
+    marked = df.join(F.broadcast(heavy), same_key, "left").drop(*names)
+    part = F.when(F.col(HEAVY), F.pmod(F.spark_partition_id(), F.lit(PARTS))).otherwise(F.lit(0))
+    dealt = marked.withColumn(PART, part).repartition(*[column(k) for k in keys], F.col(PART))
+    first = _first(dealt, [*[column(k) for k in keys], F.col(PART)], order)
+    light = first.where(F.col(HEAVY).isNull())
+    parts = _first(first.where(F.col(HEAVY)), [column(k) for k in keys], order)
+    return light.unionByName(parts).drop(HEAVY, PART)
+
+
+def _first(df: DataFrame, keys: Sequence[Column], order: Sequence[Column]) -> DataFrame:
+    window = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn(RANK, F.row_number().over(window)).where(F.col(RANK) == 1).drop(RANK)
 
 

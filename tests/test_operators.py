@@ -1,4 +1,5 @@
 import datetime as dt
+import importlib
 import math
 import random
 
@@ -161,6 +162,35 @@ def test_dedup_with_a_key_that_holds_most_rows(spark):
     assert tuples(ops.dedup_rare(df, ["k"], rare=1.0)) == want
 
 
+def _sorts_before_shuffle(node, since_exchange=()):
+    """Names of the nodes between a leaf and the first exchange above it, for every leaf that a Sort lies under."""
+    name = node.nodeName()
+    path = () if "Exchange" in name else (*since_exchange, name)
+    children = node.children()
+    if children.size() == 0:
+        return [path] if any(n.startswith("Sort") for n in path) else []
+    return [p for i in range(children.size()) for p in _sorts_before_shuffle(children.apply(i), path)]
+
+
+def test_dedup_sorts_no_rows_before_they_are_dealt_by_key(spark, monkeypatch):
+    module = importlib.import_module("portolan.operators.dedup")
+
+    monkeypatch.setattr(module, "HEAVY_ROWS", 100)
+    df = spark.range(3000).selectExpr("IF(id % 3 = 0, NULL, id % 500) AS k", "cast(hash(id) AS string) AS v", "id")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out = ops.dedup(df.repartition(5), ["k"])
+        assert _sorts_before_shuffle(out._jdf.queryExecution().executedPlan()) == []
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    rows = df.collect()
+    want = {}
+    for r in rows:
+        if r.k not in want or (r.v, r.id) < want[r.k][1:]:
+            want[r.k] = (r.k, r.v, r.id)
+    assert tuples(out) == sorted(want.values(), key=repr)
+
+
 def test_dedup_by_all_columns_and_by_given_order(spark):
     df = spark.createDataFrame([(1, 2), (1, 2), (1, 3)], "a int, b int")
     assert tuples(ops.dedup(df, ["a", "b"])) == [(1, 2), (1, 3)]
