@@ -6,10 +6,12 @@ twice the length, and so on, until the length asked for is reached or no
 candidate survives. Only the shortest level looks at every word; the later ones
 are made from candidates alone, without the texts.
 
-Texts are worked on in units of some megabytes. A unit sends every distinct run
+Texts are worked on in units of two megabytes. A unit sends every distinct run
 once, as a few bytes, to the bucket of its hash, so a run that a third of the
 corpus repeats reaches its bucket once per unit. Both buckets and units have a
-fixed size; their number grows with the corpus.
+fixed size; their number grows with the corpus. A task holds some twenty times
+its unit in arrays while it finds the runs, so units stay small: each core's
+Python worker shares an executor's memory with the JVM.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ from portolan.llm import words
 from portolan.llm.tables import ROW, numbered, pieces, stored, text_bytes
 from portolan.sinks import Staging
 
-UNIT_BYTES = 8 << 20
+UNIT_BYTES = 2 << 20
 BUCKET_RUNS = 1 << 20
 SHORTEST = 10
 # Kinds of messages: runs to be counted, runs known to be repeated, the texts of a unit.
