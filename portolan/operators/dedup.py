@@ -41,12 +41,13 @@ def keep_one(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> Dat
     counted = df.groupBy(*[column(k).alias(n) for k, n in zip(keys, names)]).count()
     heavy = counted.where(F.col("count") > HEAVY_ROWS).select(*names, F.lit(True).alias(HEAVY))
     marked = df.join(F.broadcast(heavy), same_key, "left").drop(*names)
-    part = F.when(F.col(HEAVY), F.pmod(F.spark_partition_id(), F.lit(PARTS))).otherwise(F.lit(0))
-    dealt = marked.withColumn(PART, part).repartition(*[column(k) for k in keys], F.col(PART))
-    first = _first(dealt, [*[column(k) for k in keys], F.col(PART)], order)
-    light = first.where(F.col(HEAVY).isNull())
-    parts = _first(first.where(F.col(HEAVY)), [column(k) for k in keys], order)
-    return light.unionByName(parts).drop(HEAVY, PART)
+    # Light and heavy rows go to shuffles of their own, so each row is shuffled once and read once.
+    by_key = [column(k) for k in keys]
+    light = _first(marked.where(F.col(HEAVY).isNull()).repartition(*by_key), by_key, order)
+    part = F.pmod(F.spark_partition_id(), F.lit(PARTS))
+    dealt = marked.where(F.col(HEAVY)).withColumn(PART, part).repartition(*by_key, F.col(PART))
+    parts = _first(_first(dealt, [*by_key, F.col(PART)], order), by_key, order)
+    return light.drop(HEAVY).unionByName(parts.drop(HEAVY, PART))
 
 
 def _first(df: DataFrame, keys: Sequence[Column], order: Sequence[Column]) -> DataFrame:

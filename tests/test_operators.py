@@ -191,6 +191,35 @@ def test_dedup_sorts_no_rows_before_they_are_dealt_by_key(spark, monkeypatch):
     assert tuples(out) == sorted(want.values(), key=repr)
 
 
+def _reused_shuffles(node):
+    """Columns of each shuffle that a plan reads more than once: reused exchanges that are no broadcast."""
+    children = node.children()
+    found = []
+    if node.nodeName() == "ReusedExchange" and "Broadcast" not in node.child().nodeName():
+        output = node.child().output()
+        found.append(sorted(output.apply(i).name() for i in range(output.size())))
+    return found + [n for i in range(children.size()) for n in _reused_shuffles(children.apply(i))]
+
+
+def test_dedup_reads_the_shuffle_of_whole_rows_once(spark, monkeypatch):
+    module = importlib.import_module("portolan.operators.dedup")
+
+    monkeypatch.setattr(module, "HEAVY_ROWS", 100)
+    df = spark.range(0, 3000, 1, 5).selectExpr("IF(id % 3 = 0, NULL, id % 500) AS k", "cast(hash(id) AS string) AS v", "id")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out = ops.dedup(df, ["k"])
+        # Only the counts of keys may be read twice, not whole rows.
+        assert all("v" not in names for names in _reused_shuffles(out._jdf.queryExecution().executedPlan()))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    want = {}
+    for r in df.collect():
+        if r.k not in want or (r.v, r.id) < want[r.k][1:]:
+            want[r.k] = (r.k, r.v, r.id)
+    assert tuples(out) == sorted(want.values(), key=repr)
+
+
 def test_dedup_by_all_columns_and_by_given_order(spark):
     df = spark.createDataFrame([(1, 2), (1, 2), (1, 3)], "a int, b int")
     assert tuples(ops.dedup(df, ["a", "b"])) == [(1, 2), (1, 3)]
