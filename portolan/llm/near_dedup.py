@@ -118,7 +118,12 @@ class Union:
 
 
 def _edge_table(names: list[bytes], tree: Union) -> pa.Table:
-    pairs = [(names[tree.find(i)], names[i]) for i in range(len(names)) if tree.find(i) != i]
+    """Each name's edge to the smallest name of its tree: the same edges in whichever order the names come."""
+    least: dict[int, bytes] = {}
+    for i, name in enumerate(names):
+        root = tree.find(i)
+        least[root] = min(least.get(root, name), name)
+    pairs = [(least[tree.find(i)], name) for i, name in enumerate(names) if least[tree.find(i)] != name]
     return pa.table(
         {"a": pa.array([x for x, _ in pairs], pa.binary()), "b": pa.array([y for _, y in pairs], pa.binary())}
     )

@@ -3,8 +3,10 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from portolan.llm import near_dedup
+from portolan.llm.tables import components
 from tests.llm import brute
 from tests.llm.conftest import frame, prose
 
@@ -52,3 +54,45 @@ def test_every_pair_within_the_radius_shares_a_key():
 def test_the_chance_of_a_miss_is_the_one_that_is_stated():
     miss = sum(math.comb(near_dedup.VALUES, k) * 0.2**k * 0.8 ** (near_dedup.VALUES - k) for k in range(near_dedup.RADIUS + 1, near_dedup.VALUES + 1))
     assert f"{miss * 1e6:.1f} of a million pairs" in " ".join(near_dedup.__doc__.split())
+
+
+def test_links_survive_rows_in_another_order(spark, docs, corpus, staging, monkeypatch):
+    """Groups arrive in another order whenever a task runs, as they do when executors fetch from each other."""
+    for name in ("_bucket_edges", "_links"):
+        monkeypatch.setattr(near_dedup, name, in_any_order(getattr(near_dedup, name)))
+    out = near_dedup.near_duplicates(docs, shingle_words=4, percent=80, staging=staging).collect()
+    want = brute.components(corpus, 4)
+    assert sorted(((r.doc_id, r.component_id) for r in out), key=repr) == sorted(((d, c) for (d, _), (_, c) in zip(corpus, want, strict=True)), key=repr)
+
+
+def in_any_order(make):
+    def made(percent):
+        work = make(percent)
+
+        def run(table):
+            return work(table.take(np.random.default_rng().permutation(len(table))))
+
+        return run
+
+    return made
+
+
+def test_edges_do_not_depend_on_the_order_of_names():
+    def edges(names):
+        tree = near_dedup.Union(len(names))
+        for one, other in ((b"b", b"d"), (b"d", b"c"), (b"a", b"e")):
+            tree.join(names.index(one), names.index(other))
+        return sorted(map(tuple, zip(*near_dedup._edge_table(names, tree).to_pydict().values(), strict=True)))
+
+    names = [b"a", b"b", b"c", b"d", b"e", b"f"]
+    for seed in range(20):
+        assert edges(random.Random(seed).sample(names, 6)) == [(b"a", b"e"), (b"b", b"c"), (b"b", b"d")]
+
+
+def test_components_read_their_edges_once(spark, staging):
+    """Edges that are turned round whenever they are evaluated."""
+    turn = F.udf(lambda x: random.SystemRandom().random() < 0.5, "boolean").asNondeterministic()
+    pairs = spark.range(0, 400, 2, 4).select(F.col("id").alias("x"), (F.col("id") + 1).alias("y"), turn("id").alias("t"))
+    edges = pairs.select(F.when(F.col("t"), F.col("x")).otherwise(F.col("y")).alias("a"), F.when(F.col("t"), F.col("y")).otherwise(F.col("x")).alias("b"))
+    found = {r.node: r.root for r in components(edges, staging).collect()}
+    assert found == {i: i - i % 2 for i in range(400)}
