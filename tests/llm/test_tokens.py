@@ -10,6 +10,7 @@ from portolan.llm import library, words
 from portolan.llm import token_counts as tc
 from portolan.llm import token_files as tf
 from tests.llm import brute
+from tests.llm.conftest import frame
 
 
 def ids_of(text):
@@ -128,3 +129,36 @@ def test_table_with_collisions():
     table = tc.Table(h, n)
     assert table.lengths(h).tolist() == n.tolist() and table.probes > 200
     assert not table.lengths(h + np.uint64(1 << 62)).any()
+
+
+@pytest.mark.parametrize("partitions", [1, 3])
+def test_frequent_words_are_those_of_all_texts(spark, monkeypatch, partitions):
+    """More texts than a share of them would hold, and more words than a task once kept."""
+    monkeypatch.setattr(tc, "SAMPLE_BYTES", 2000, raising=False)
+    monkeypatch.setattr(tc, "FREQUENT", 30_000)
+    made, init = [], tc.Table.__init__
+    monkeypatch.setattr(tc.Table, "__init__", lambda self, hashes, lengths: made.append(hashes) or init(self, hashes, lengths))
+    texts = [" ".join(f"w{j}" for j in range(300 * i, 300 * i + 600)) for i in range(100)] + [None, "", "w1 w1 w2"]
+    out = tc.count_tokens(frame(spark, list(enumerate(texts)), partitions), brute.VOCABULARY)
+    n = Counter(w for t in texts for w in (t or "").split())
+    top = sorted(n, key=lambda w: (-n[w], w))[:30_000]
+    want = np.concatenate([b.hashes() for b in words.blocks(pa.array(top, pa.string()))])
+    assert made[0].tolist() == want.tolist() and len(want) == 30_000
+    assert {r.doc_id: r.n_tokens for r in out.collect()} == {i: len(ids_of(t)) for i, t in enumerate(texts)}
+
+
+@pytest.mark.parametrize("limit", ["COUNTED_WORDS", "COUNTED_BYTES"])
+def test_word_counts_add_up_however_they_are_handed_on(monkeypatch, limit):
+    monkeypatch.setattr(tc, limit, 10)
+    texts = ["a b a", None, "", "c a\tb\nc", "d" * 50, "a \u00e9 a", "e f g h i j k l m n o p"]
+    batches = [pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["text"])] * 3
+    parts = [Counter(dict(zip(*b.to_pydict().values(), strict=True))) for b in tc._word_counts(iter(batches))]
+    assert len(parts) > 1 and sum(parts, Counter()) == Counter(w for t in texts * 3 for w in (t or "").split())
+
+
+@pytest.mark.parametrize("k", [1, 7, 50, 1000])
+def test_most_frequent_words(spark, k):
+    rng = np.random.default_rng(5)
+    counts = [(f"w{i}", int(n)) for i, n in enumerate(rng.zipf(1.3, 400).clip(max=1 << 40))]
+    out = tc._most_frequent(spark.createDataFrame(counts, "word string, n long"), k)
+    assert [tuple(r) for r in out.collect()] == sorted(counts, key=lambda x: (-x[1], x[0]))[:k]
